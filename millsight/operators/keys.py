@@ -49,10 +49,12 @@ def flag_rows(
     flag: Column,
     name: str,
     hot_rows: int = HOT_ROWS,
+    on: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Add boolean ``name`` to every row: the value of ``flag`` for the row's key.
 
-    ``profile`` is a :func:`key_profile` of ``frame``. Hot keys, flagged or not, are answered by a
+    ``profile`` is a :func:`key_profile` of the rows of ``frame``; ``on`` computes the key members
+    where ``frame`` has no columns of their names. Hot keys, flagged or not, are answered by a
     broadcast whose size is bounded by rows / ``hot_rows``. The remaining flagged keys are joined by
     key; hot rows take part in that join only under a spread-out slot number, so no single task
     receives a hot key.
@@ -66,8 +68,8 @@ def flag_rows(
 
     def same_key(prefix: str) -> Column:
         match = F.lit(True)
-        for i, key in enumerate(keys):
-            match = match & F.col(key).eqNullSafe(F.col(f"{prefix}{i}"))
+        for i, member in enumerate(on or [F.col(key) for key in keys]):
+            match = match & member.eqNullSafe(F.col(f"{prefix}{i}"))
         return match
 
     hot = renamed(hot, "_hot_", F.col("_flag").alias("_hot_flag"))
@@ -84,6 +86,28 @@ def flag_rows(
     )
 
 
+def flag_unresolved(
+    frame: DataFrame,
+    members: Sequence[Column],
+    parent: DataFrame,
+    parent_columns: Sequence[str],
+    name: str,
+) -> DataFrame:
+    """Add boolean ``name``: TRUE where no parent row has the members' values.
+
+    For dimension parents. No broadcast is forced: Spark broadcasts a parent only where its measured
+    size is below the threshold.
+    """
+    names = [f"_parent_{i}" for i in range(len(members))]
+    renamed = [F.col(c).alias(n) for c, n in zip(parent_columns, names, strict=True)]
+    known = parent.select(*renamed).distinct().withColumn("_known", F.lit(True))
+    match = F.lit(True)
+    for member, own in zip(members, names, strict=True):
+        match = match & member.eqNullSafe(F.col(own))
+    joined = frame.join(known, match, "left")
+    return joined.select(*[F.col(c) for c in frame.columns], F.col("_known").isNull().alias(name))
+
+
 def keep_resolved(
     frame: DataFrame,
     keys: Sequence[str],

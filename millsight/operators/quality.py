@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,40 +13,68 @@ from pyspark.sql import functions as F
 from millsight.contracts import Contract, Reference, Rule
 
 
-def issue(code: str, message: str) -> Column:
-    return F.struct(F.lit(code).alias("code"), F.lit(message).alias("message"))
+NO_ISSUES = "array<struct<code:string,message:string>>"
 
 
-def safe_cast(column: str, sql_type: str, present: bool) -> Column:
-    """The cast value, NULL where the text does not fit the type or the column is absent."""
-    if not present:
-        return F.lit(None).cast(sql_type)
-    return F.col(column).try_cast(sql_type)
+@dataclass(frozen=True)
+class Issue:
+    """A violation: ``failed`` is TRUE or FALSE, never NULL."""
 
+    failed: Column
+    code: str
+    message: str
+
+    @property
+    def entry(self) -> Column:
+        found = F.struct(F.lit(self.code).alias("code"), F.lit(self.message).alias("message"))
+        return F.when(self.failed, found)
+
+
+RAW = "_raw_"
 
-def typed_columns(contract: Contract, available: Collection[str]) -> list[Column]:
-    return [
-        safe_cast(field.name, field.sql_type, field.name in available).alias(field.name)
-        for field in contract.fields
-    ]
 
+def hold_raw(raw: DataFrame) -> DataFrame:
+    """The untouched source columns under prefixed names, next to ``_source_file``.
+
+    Rows travel in this form until all joins are done: it is the narrowest one, and the columns a
+    query does not need are pruned one by one.
+    """
+    held = [F.col(column).alias(f"{RAW}{column}") for column in raw.columns]
+    return raw.select(*held, "_source_file")
 
-def column_issues(contract: Contract, raw: str, available: Collection[str]) -> list[Column]:
-    """Missing, NULL and uncastable values, in column order.
 
-    Reads typed values by name and raw values from the struct column ``raw``.
+def safe_casts(contract: Contract, available: Collection[str]) -> dict[str, Column]:
+    """Contract columns of a :func:`hold_raw` frame, cast to their types.
+
+    A value is NULL where the source value does not fit the type or the column is absent.
     """
+    return {
+        field.name: F.col(f"{RAW}{field.name}").try_cast(field.sql_type)
+        if field.name in available
+        else F.lit(None).cast(field.sql_type)
+        for field in contract.fields
+    }
+
+
+def raw_record(available: Collection[str]) -> Column:
+    """The source row as JSON, NULLs included."""
+    whole = F.struct(*[F.col(f"{RAW}{column}").alias(column) for column in available])
+    return F.to_json(whole, {"ignoreNullFields": "false"})
+
+
+def column_issues(contract: Contract, available: Collection[str]) -> list[Issue]:
+    """Missing, NULL and uncastable values, in column order, from typed and raw columns."""
     found = []
     for field in contract.fields:
         present = field.name in available
         if not field.optional:
             code = "NULL_REQUIRED_VALUE" if present else "MISSING_REQUIRED_COLUMN"
             text = f"required field {field.name} is null or unavailable"
-            found.append(F.when(F.col(field.name).isNull(), issue(code, text)))
-        if present:
+            found.append(Issue(F.col(field.name).isNull(), code, text))
+        if present and field.sql_type != "STRING":  # everything casts to text
             text = f"{field.name} cannot be cast to {field.sql_type}"
-            lost = F.col(raw)[field.name].isNotNull() & F.col(field.name).isNull()
-            found.append(F.when(lost, issue("INVALID_DATA_TYPE", text)))
+            lost = F.col(f"{RAW}{field.name}").isNotNull() & F.col(field.name).isNull()
+            found.append(Issue(lost, "INVALID_DATA_TYPE", text))
     return found
 
 
@@ -52,22 +83,30 @@ def violates(rule: Rule) -> Column:
     return ~F.coalesce(F.expr(rule.holds), F.lit(False))
 
 
-def rule_issues(contract: Contract) -> list[Column]:
-    return [F.when(violates(rule), issue(rule.code, rule.message)) for rule in contract.rules]
+def rule_issues(contract: Contract) -> list[Issue]:
+    return [Issue(violates(rule), rule.code, rule.message) for rule in contract.rules]
 
 
-def duplicate_issue(contract: Contract, flag: str) -> Column:
-    return F.when(F.col(flag), issue("DUPLICATE_KEY", f"duplicate key: {', '.join(contract.key)}"))
+def duplicate_issue(contract: Contract, flag: str) -> Issue:
+    return Issue(F.col(flag), "DUPLICATE_KEY", f"duplicate key: {', '.join(contract.key)}")
 
 
-def reference_issue(reference: Reference, unresolved: Column) -> Column:
+def reference_issue(reference: Reference, unresolved: Column) -> Issue:
     text = f"{', '.join(reference.columns)} does not resolve to {reference.parent}"
-    return F.when(unresolved, issue("INVALID_FOREIGN_KEY", text))
+    return Issue(unresolved, "INVALID_FOREIGN_KEY", text)
 
 
-def compact(issues: list[Column]) -> Column:
-    """Present issues in order, as an array of (code, message)."""
-    return F.array_compact(F.array(*issues))
+def any_of(issues: list[Issue]) -> Column:
+    return reduce(or_, [issue.failed for issue in issues])
+
+
+def entries(issues: list[Issue]) -> Column:
+    """Present issues in order, as an array of (code, message).
+
+    The list is assembled for failing rows only; the others are decided by plain comparisons.
+    """
+    listed = F.array_compact(F.array(*[issue.entry for issue in issues]))
+    return F.when(any_of(issues), listed).otherwise(F.array().cast(NO_ISSUES))
 
 
 def issue_text(issues: str) -> tuple[Column, Column]:

@@ -119,12 +119,12 @@ def pareto(
     match = F.lit(True)
     for c in block:
         match = match & (F.col(c) == F.col(f"_b_{c}"))
-    position = F.row_number().over(
-        Window.partitionBy(*block).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
-    )
-    ranked = frame.join(sizes, match).withColumn(
-        "cumulative_failures", F.col("_start") + F.col(measure) * position
-    )
+    # Positions first: their sort order is the one the join needs.
+    order = [F.col(c).asc_nulls_first() for c in rest]
+    position = F.row_number().over(Window.partitionBy(*block).orderBy(*order))
+    placed = frame.withColumn("_position", position).join(sizes, match)
+    running = F.col("_start") + F.col(measure) * F.col("_position")
+    ranked = placed.withColumn("cumulative_failures", running)
     return ranked.select(*frame.columns, "total_failures", "cumulative_failures", "pareto_rank")
 
 

@@ -11,19 +11,29 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millsight.contracts import LINEAGE, LOAD_ORDER, Contract, Horizon, contracts
-from millsight.operators.keys import HOT_ROWS, flag_rows, key_profile, unseen_files
+from millsight.operators.keys import (
+    HOT_ROWS,
+    flag_rows,
+    flag_unresolved,
+    key_profile,
+    unseen_files,
+)
 from millsight.operators.quality import (
+    Issue,
+    any_of,
     column_issues,
-    compact,
     duplicate_issue,
+    entries,
+    hold_raw,
     issue_text,
+    raw_record,
     reference_issue,
     rule_issues,
-    typed_columns,
+    safe_casts,
 )
 from millsight.session import work_folder
 from millsight.sources.catalog import Lake
@@ -37,9 +47,10 @@ def _as_is(frame: DataFrame, name: str) -> DataFrame:
 
 
 def type_batch(raw: DataFrame, contract: Contract) -> DataFrame:
-    """Contract columns cast safely, next to the untouched source row in ``_raw``."""
-    whole = F.struct(*[F.col(column) for column in raw.columns]).alias("_raw")
-    return raw.select(*typed_columns(contract, raw.columns), "_source_file", whole)
+    """Contract columns cast safely, next to the untouched source columns."""
+    held = hold_raw(raw)
+    casts = safe_casts(contract, raw.columns)
+    return held.select(*[c.alias(name) for name, c in casts.items()], *held.columns)
 
 
 def check_batch(
@@ -58,58 +69,52 @@ def check_batch(
 
     ``stored`` holds accepted rows of earlier batches; ``parents`` the accepted parent rows by table
     name (references to other tables are skipped). ``settle`` may write a small intermediate
-    relation and read it back.
+    relation and read it back: its measured size then lets Spark broadcast it, and the wide rows
+    pass from the scan to the output without a shuffle.
     """
+    casts = safe_casts(contract, raw.columns)
     typed = type_batch(raw, contract)
+
     profile = key_profile(typed, contract.key, stored)
-    profile = settle(profile.filter((F.col("rows") > 1) | F.col("known")), "duplicate_keys")
     repeated = (F.col("rows") > 1) | F.col("known")
-    checked = flag_rows(typed, profile, contract.key, repeated, "_duplicate", hot_rows)
+    profile = settle(profile.filter(repeated), "duplicate_keys")
+    on = [casts[column] for column in contract.key]
+    checked = flag_rows(hold_raw(raw), profile, contract.key, repeated, "_duplicate", hot_rows, on)
 
-    references = [r for r in contract.references if parents is None or r.parent in parents]
-    found: list[Column] = []
+    parents = parents or {}
+    references = [r for r in contract.references if r.parent in parents]
+    unresolved: list[Issue] = []
     for number, reference in enumerate(references):
-        if parents is None:
-            break
         parent = parents[reference.parent]
         flag = f"_unresolved_{number}"
+        on = [casts[column] for column in reference.columns]
         if reference.large_parent:
             profile = key_profile(typed, reference.columns, parent, reference.parent_columns)
-            profile = settle(
-                profile.filter(~F.col("known") | (F.col("rows") > hot_rows)), f"reference_{number}"
-            )
-            checked = flag_rows(checked, profile, reference.columns, ~F.col("known"), flag, hot_rows)
-            unresolved = F.col(flag)
+            needed = ~F.col("known") | (F.col("rows") > hot_rows)
+            profile = settle(profile.filter(needed), f"reference_{number}")
+            orphan = ~F.col("known")
+            checked = flag_rows(checked, profile, reference.columns, orphan, flag, hot_rows, on)
         else:
-            # Spark broadcasts a parent only where its measured size is below the threshold.
-            names = [f"_parent_{number}_{i}" for i in range(len(reference.parent_columns))]
-            pairs = zip(reference.parent_columns, names, strict=True)
-            distinct = parent.select(*[F.col(c).alias(name) for c, name in pairs]).distinct()
-            match = F.lit(True)
-            for column, name in zip(reference.columns, names, strict=True):
-                match = match & F.col(column).eqNullSafe(F.col(name))
-            checked = checked.join(distinct.withColumn(flag, F.lit(False)), match, "left").drop(*names)
-            unresolved = F.col(flag).isNull()
+            checked = flag_unresolved(checked, on, parent, reference.parent_columns, flag)
+        failed = F.col(flag)
         if reference.optional:
             for column in reference.columns:
-                unresolved = unresolved & F.col(column).isNotNull()
-        found.append(reference_issue(reference, unresolved))
+                failed = failed & F.col(column).isNotNull()
+        unresolved.append(reference_issue(reference, failed))
 
     issues = [
-        *column_issues(contract, "_raw", raw.columns),
+        *column_issues(contract, raw.columns),
         *rule_issues(contract),
         duplicate_issue(contract, "_duplicate"),
-        *found,
+        *unresolved,
     ]
-    checked = checked.select(*contract.columns, "_source_file", "_raw", compact(issues).alias("_errors"))
-    accepted = F.size("_errors") == 0
-    record = F.when(~accepted, F.to_json("_raw", {"ignoreNullFields": "false"}))
+    checked = checked.withColumns(casts).withColumn("_accepted", ~any_of(issues))
     return checked.select(
         *contract.columns,
         "_source_file",
-        "_errors",
-        accepted.alias("_accepted"),
-        record.alias("_original_record"),
+        entries(issues).alias("_errors"),
+        "_accepted",
+        F.when(~F.col("_accepted"), raw_record(raw.columns)).alias("_original_record"),
     )
 
 

@@ -104,7 +104,8 @@ def conform_production(
     Spark broadcasts each one whose size is below its threshold.
     """
     frame = PRODUCTION_IDS.apply(bronze) if normalize_first else bronze
-    frame = latest_record(frame, PRODUCTION_KEY).filter(valid_quantities())
+    # The lot comes first because it tells rows apart soonest when they are sorted.
+    frame = latest_record(frame, tuple(reversed(PRODUCTION_KEY))).filter(valid_quantities())
     dates = dims["dim_date"].select(F.col("date").alias("production_date"))
     for known, key in (
         (dates, ["production_date"]),

@@ -69,7 +69,7 @@ def dq_missing_column(dirty: DirtyStar) -> DataFrame:
 @query
 def dq_safe_cast(dirty: DirtyStar) -> DataFrame:
     contract = CONTRACTS["fact_production"]
-    return dirty.raw_production.select(*quality.typed_columns(contract, dirty.raw_production.columns))
+    return bronze.type_batch(dirty.raw_production, contract).select(*contract.columns)
 
 
 def _issues(raw: DataFrame, table: str, wanted: tuple[str, ...]) -> DataFrame:
@@ -96,7 +96,7 @@ def dq_invalid_type(dirty: DirtyStar) -> DataFrame:
 def dq_row_rules(dirty: DirtyStar) -> DataFrame:
     contract = CONTRACTS["fact_production"]
     typed = bronze.type_batch(dirty.raw_production, contract)
-    issues = typed.withColumn("_errors", quality.compact(quality.rule_issues(contract)))
+    issues = typed.withColumn("_errors", quality.entries(quality.rule_issues(contract)))
     codes, messages = quality.issue_text("_errors")
     failing = issues.filter(F.size("_errors") > 0)
     return failing.select("production_lot_id", codes.alias("codes"), messages.alias("messages"))
@@ -106,7 +106,7 @@ def dq_row_rules(dirty: DirtyStar) -> DataFrame:
 def dq_event_rules(dirty: DirtyStar) -> DataFrame:
     contract = CONTRACTS["fact_quality_event"]
     typed = bronze.type_batch(dirty.raw_events, contract)
-    issues = typed.withColumn("_errors", quality.compact(quality.rule_issues(contract)))
+    issues = typed.withColumn("_errors", quality.entries(quality.rule_issues(contract)))
     codes, messages = quality.issue_text("_errors")
     failing = issues.filter(F.size("_errors") > 0)
     return failing.select("quality_event_id", codes.alias("codes"), messages.alias("messages"))
