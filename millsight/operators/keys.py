@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key with more rows than this is hot. At most (rows / HOT_ROWS) keys can be hot, which bounds
@@ -28,30 +28,33 @@ def key_profile(
     NULL members compare equal, as in GROUP BY. Both sides meet in one partial + final aggregation,
     so neither a hot key nor a repeated parent multiplies anything.
     """
-    mine = frame.select(*keys, F.lit(1).alias("_mine"), F.lit(False).alias("_known"))
+    mine = frame.selectExpr(*keys, "1 AS _mine", "FALSE AS _known")
     if other is not None:
-        theirs = other.select(
-            *[F.col(theirs).alias(key) for theirs, key in zip(other_keys or keys, keys, strict=True)],
-            F.lit(0).alias("_mine"),
-            F.lit(True).alias("_known"),
-        )
-        mine = mine.unionByName(theirs)
-    profile = mine.groupBy(*keys).agg(
-        F.sum("_mine").cast("long").alias("rows"), F.max("_known").alias("known")
-    )
-    return profile.filter("rows > 0")
+        pairs = zip(other_keys or keys, keys, strict=True)
+        renamed = [f"{theirs} AS {key}" for theirs, key in pairs]
+        mine = mine.unionByName(other.selectExpr(*renamed, "0 AS _mine", "TRUE AS _known"))
+    rows = F.sum("_mine").cast("long").alias("rows")
+    return mine.groupBy(*keys).agg(rows, F.max("_known").alias("known")).filter("rows > 0")
+
+
+def _same_key(members: Sequence[str], prefix: str) -> str:
+    return " AND ".join(f"{member} <=> {prefix}{i}" for i, member in enumerate(members))
+
+
+def _renamed(keys: Sequence[str], prefix: str) -> list[str]:
+    return [f"{key} AS {prefix}{i}" for i, key in enumerate(keys)]
 
 
 def flag_rows(
     frame: DataFrame,
     profile: DataFrame,
     keys: Sequence[str],
-    flag: Column,
+    flag: str,
     name: str,
     hot_rows: int = HOT_ROWS,
-    on: Sequence[Column] | None = None,
+    on: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add boolean ``name`` to every row: the value of ``flag`` for the row's key.
+    """Add boolean ``name`` to every row: the value of the profile's predicate ``flag`` for its key.
 
     ``profile`` is a :func:`key_profile` of the rows of ``frame``; ``on`` computes the key members
     where ``frame`` has no columns of their names. Hot keys, flagged or not, are answered by a
@@ -59,36 +62,24 @@ def flag_rows(
     key; hot rows take part in that join only under a spread-out slot number, so no single task
     receives a hot key.
     """
-    profile = profile.withColumn("_flag", flag)
+    members = on or keys
     hot = profile.filter(F.col("rows") > hot_rows)
-    cold = profile.filter((F.col("rows") <= hot_rows) & F.col("_flag"))
-
-    def renamed(side: DataFrame, prefix: str, *extra: Column) -> DataFrame:
-        return side.select(*[F.col(key).alias(f"{prefix}{i}") for i, key in enumerate(keys)], *extra)
-
-    def same_key(prefix: str) -> Column:
-        match = F.lit(True)
-        for i, member in enumerate(on or [F.col(key) for key in keys]):
-            match = match & member.eqNullSafe(F.col(f"{prefix}{i}"))
-        return match
-
-    hot = renamed(hot, "_hot_", F.col("_flag").alias("_hot_flag"))
-    cold = renamed(cold, "_cold_", F.lit(0).alias("_cold_slot"), F.lit(True).alias("_cold_flag"))
-    marked = frame.join(F.broadcast(hot), same_key("_hot_"), "left").withColumn(
-        # The slot is the input partition, which a retried task keeps.
-        "_slot",
-        F.when(F.col("_hot_flag").isNotNull(), 1 + F.spark_partition_id()).otherwise(0),
-    )
-    marked = marked.join(cold, same_key("_cold_") & (F.col("_slot") == F.col("_cold_slot")), "left")
-    return marked.select(
-        *[F.col(column) for column in frame.columns],
-        F.coalesce("_hot_flag", "_cold_flag", F.lit(False)).alias(name),
+    hot = hot.selectExpr(*_renamed(keys, "_hot_"), f"({flag}) AS _hot_flag")
+    cold = profile.filter((F.col("rows") <= hot_rows) & F.expr(flag))
+    cold = cold.selectExpr(*_renamed(keys, "_cold_"), "0 AS _cold_slot", "TRUE AS _cold_flag")
+    # The slot is the input partition, which a retried task keeps.
+    slot = F.when(F.col("_hot_flag").isNotNull(), 1 + F.spark_partition_id()).otherwise(0)
+    marked = frame.join(F.broadcast(hot), F.expr(_same_key(members, "_hot_")), "left")
+    marked = marked.withColumn("_slot", slot)
+    match = F.expr(f"{_same_key(members, '_cold_')} AND _slot = _cold_slot")
+    return marked.join(cold, match, "left").selectExpr(
+        *frame.columns, f"coalesce(_hot_flag, _cold_flag, FALSE) AS {name}"
     )
 
 
 def flag_unresolved(
     frame: DataFrame,
-    members: Sequence[Column],
+    members: Sequence[str],
     parent: DataFrame,
     parent_columns: Sequence[str],
     name: str,
@@ -98,14 +89,10 @@ def flag_unresolved(
     For dimension parents. No broadcast is forced: Spark broadcasts a parent only where its measured
     size is below the threshold.
     """
-    names = [f"_parent_{i}" for i in range(len(members))]
-    renamed = [F.col(c).alias(n) for c, n in zip(parent_columns, names, strict=True)]
-    known = parent.select(*renamed).distinct().withColumn("_known", F.lit(True))
-    match = F.lit(True)
-    for member, own in zip(members, names, strict=True):
-        match = match & member.eqNullSafe(F.col(own))
-    joined = frame.join(known, match, "left")
-    return joined.select(*[F.col(c) for c in frame.columns], F.col("_known").isNull().alias(name))
+    known = parent.selectExpr(*_renamed(parent_columns, "_parent_")).distinct()
+    known = known.withColumn("_known", F.lit(True))
+    joined = frame.join(known, F.expr(_same_key(members, "_parent_")), "left")
+    return joined.selectExpr(*frame.columns, f"_known IS NULL AS {name}")
 
 
 def keep_resolved(
@@ -123,8 +110,8 @@ def keep_resolved(
     """
     whole = frame.dropna(subset=list(keys))
     profile = key_profile(whole if counted is None else counted, keys, parent, parent_keys)
-    flagged = flag_rows(whole, profile, keys, ~F.col("known"), "_orphan", hot_rows)
-    return flagged.filter(~F.col("_orphan")).drop("_orphan")
+    flagged = flag_rows(whole, profile, keys, "NOT known", "_orphan", hot_rows)
+    return flagged.filter("NOT _orphan").drop("_orphan")
 
 
 def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -148,8 +135,6 @@ def latest_record(
     not depend on row order. The rank limit is applied before the shuffle as well
     (``WindowGroupLimit``), so a key with many copies sends one row per input partition.
     """
-    from pyspark.sql import Window
-
     rest = [c for c in frame.columns if c not in keys and c != newest_first]
     rest.sort(key=lambda c: (c != "_source_file", c))
     order = [F.col(newest_first).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in rest]]

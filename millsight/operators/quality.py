@@ -1,36 +1,34 @@
-"""Row-level contract checks as Column expressions."""
+"""Row-level contract checks, generated from a contract as SQL expressions."""
 
 from __future__ import annotations
 
 from collections.abc import Collection
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millsight.contracts import Contract, Reference, Rule
 
-
-NO_ISSUES = "array<struct<code:string,message:string>>"
+RAW = "_raw_"
 
 
 @dataclass(frozen=True)
 class Issue:
-    """A violation: ``failed`` is TRUE or FALSE, never NULL."""
+    """A violation: the predicate ``failed`` is TRUE or FALSE, never NULL."""
 
-    failed: Column
+    failed: str
     code: str
     message: str
 
     @property
-    def entry(self) -> Column:
-        found = F.struct(F.lit(self.code).alias("code"), F.lit(self.message).alias("message"))
-        return F.when(self.failed, found)
+    def entry(self) -> str:
+        found = f"named_struct('code', {quoted(self.code)}, 'message', {quoted(self.message)})"
+        return f"CASE WHEN {self.failed} THEN {found} END"
 
 
-RAW = "_raw_"
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def hold_raw(raw: DataFrame) -> DataFrame:
@@ -39,27 +37,26 @@ def hold_raw(raw: DataFrame) -> DataFrame:
     Rows travel in this form until all joins are done: it is the narrowest one, and the columns a
     query does not need are pruned one by one.
     """
-    held = [F.col(column).alias(f"{RAW}{column}") for column in raw.columns]
-    return raw.select(*held, "_source_file")
+    return raw.selectExpr(*[f"`{c}` AS `{RAW}{c}`" for c in raw.columns], "_source_file")
 
 
-def safe_casts(contract: Contract, available: Collection[str]) -> dict[str, Column]:
+def safe_casts(contract: Contract, available: Collection[str]) -> dict[str, str]:
     """Contract columns of a :func:`hold_raw` frame, cast to their types.
 
     A value is NULL where the source value does not fit the type or the column is absent.
     """
     return {
-        field.name: F.col(f"{RAW}{field.name}").try_cast(field.sql_type)
+        field.name: f"try_cast(`{RAW}{field.name}` AS {field.sql_type})"
         if field.name in available
-        else F.lit(None).cast(field.sql_type)
+        else f"CAST(NULL AS {field.sql_type})"
         for field in contract.fields
     }
 
 
-def raw_record(available: Collection[str]) -> Column:
+def raw_record(available: Collection[str]) -> str:
     """The source row as JSON, NULLs included."""
-    whole = F.struct(*[F.col(f"{RAW}{column}").alias(column) for column in available])
-    return F.to_json(whole, {"ignoreNullFields": "false"})
+    members = ", ".join(f"{quoted(c)}, `{RAW}{c}`" for c in available)
+    return f"to_json(named_struct({members}), map('ignoreNullFields', 'false'))"
 
 
 def column_issues(contract: Contract, available: Collection[str]) -> list[Issue]:
@@ -70,17 +67,17 @@ def column_issues(contract: Contract, available: Collection[str]) -> list[Issue]
         if not field.optional:
             code = "NULL_REQUIRED_VALUE" if present else "MISSING_REQUIRED_COLUMN"
             text = f"required field {field.name} is null or unavailable"
-            found.append(Issue(F.col(field.name).isNull(), code, text))
+            found.append(Issue(f"`{field.name}` IS NULL", code, text))
         if present and field.sql_type != "STRING":  # everything casts to text
             text = f"{field.name} cannot be cast to {field.sql_type}"
-            lost = F.col(f"{RAW}{field.name}").isNotNull() & F.col(field.name).isNull()
+            lost = f"(`{RAW}{field.name}` IS NOT NULL AND `{field.name}` IS NULL)"
             found.append(Issue(lost, "INVALID_DATA_TYPE", text))
     return found
 
 
-def violates(rule: Rule) -> Column:
+def violates(rule: Rule) -> str:
     """TRUE unless the rule's predicate is TRUE."""
-    return ~F.coalesce(F.expr(rule.holds), F.lit(False))
+    return f"NOT coalesce({rule.holds}, FALSE)"
 
 
 def rule_issues(contract: Contract) -> list[Issue]:
@@ -88,16 +85,18 @@ def rule_issues(contract: Contract) -> list[Issue]:
 
 
 def duplicate_issue(contract: Contract, flag: str) -> Issue:
-    return Issue(F.col(flag), "DUPLICATE_KEY", f"duplicate key: {', '.join(contract.key)}")
+    return Issue(flag, "DUPLICATE_KEY", f"duplicate key: {', '.join(contract.key)}")
 
 
-def reference_issue(reference: Reference, unresolved: Column) -> Issue:
+def reference_issue(reference: Reference, unresolved: str) -> Issue:
+    """An optional reference may be NULL; any other NULL does not resolve."""
     text = f"{', '.join(reference.columns)} does not resolve to {reference.parent}"
-    return Issue(unresolved, "INVALID_FOREIGN_KEY", text)
+    given = "".join(f" AND `{c}` IS NOT NULL" for c in reference.columns if reference.optional)
+    return Issue(f"({unresolved}{given})", "INVALID_FOREIGN_KEY", text)
 
 
-def any_of(issues: list[Issue]) -> Column:
-    return reduce(or_, [issue.failed for issue in issues])
+def any_of(issues: list[Issue]) -> str:
+    return "(" + " OR ".join(issue.failed for issue in issues) + ")"
 
 
 def entries(issues: list[Issue]) -> Column:
@@ -105,15 +104,16 @@ def entries(issues: list[Issue]) -> Column:
 
     The list is assembled for failing rows only; the others are decided by plain comparisons.
     """
-    listed = F.array_compact(F.array(*[issue.entry for issue in issues]))
-    return F.when(any_of(issues), listed).otherwise(F.array().cast(NO_ISSUES))
+    listed = ", ".join(issue.entry for issue in issues)
+    none = "CAST(array() AS ARRAY<STRUCT<code: STRING, message: STRING>>)"
+    return F.expr(
+        f"CASE WHEN {any_of(issues)} THEN array_compact(array({listed})) ELSE {none} END"
+    )
 
 
 def issue_text(issues: str) -> tuple[Column, Column]:
     """Codes joined with ``,`` and messages joined with ``; ``."""
-    codes = F.concat_ws(",", F.transform(issues, lambda found: found["code"]))
-    messages = F.concat_ws("; ", F.transform(issues, lambda found: found["message"]))
-    return codes, messages
+    return F.expr(f"concat_ws(',', {issues}.code)"), F.expr(f"concat_ws('; ', {issues}.message)")
 
 
 def count_violations(frame: DataFrame, violation: Column, name: str) -> DataFrame:

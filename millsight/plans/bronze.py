@@ -50,7 +50,7 @@ def type_batch(raw: DataFrame, contract: Contract) -> DataFrame:
     """Contract columns cast safely, next to the untouched source columns."""
     held = hold_raw(raw)
     casts = safe_casts(contract, raw.columns)
-    return held.select(*[c.alias(name) for name, c in casts.items()], *held.columns)
+    return held.selectExpr(*[f"{cast} AS `{name}`" for name, cast in casts.items()], *held.columns)
 
 
 def check_batch(
@@ -75,8 +75,8 @@ def check_batch(
     casts = safe_casts(contract, raw.columns)
     typed = type_batch(raw, contract)
 
+    repeated = "(rows > 1 OR known)"
     profile = key_profile(typed, contract.key, stored)
-    repeated = (F.col("rows") > 1) | F.col("known")
     profile = settle(profile.filter(repeated), "duplicate_keys")
     on = [casts[column] for column in contract.key]
     checked = flag_rows(hold_raw(raw), profile, contract.key, repeated, "_duplicate", hot_rows, on)
@@ -90,17 +90,14 @@ def check_batch(
         on = [casts[column] for column in reference.columns]
         if reference.large_parent:
             profile = key_profile(typed, reference.columns, parent, reference.parent_columns)
-            needed = ~F.col("known") | (F.col("rows") > hot_rows)
-            profile = settle(profile.filter(needed), f"reference_{number}")
-            orphan = ~F.col("known")
-            checked = flag_rows(checked, profile, reference.columns, orphan, flag, hot_rows, on)
+            profile = profile.filter(f"NOT known OR rows > {hot_rows}")
+            profile = settle(profile, f"reference_{number}")
+            checked = flag_rows(
+                checked, profile, reference.columns, "NOT known", flag, hot_rows, on
+            )
         else:
             checked = flag_unresolved(checked, on, parent, reference.parent_columns, flag)
-        failed = F.col(flag)
-        if reference.optional:
-            for column in reference.columns:
-                failed = failed & F.col(column).isNotNull()
-        unresolved.append(reference_issue(reference, failed))
+        unresolved.append(reference_issue(reference, flag))
 
     issues = [
         *column_issues(contract, raw.columns),
@@ -108,13 +105,16 @@ def check_batch(
         duplicate_issue(contract, "_duplicate"),
         *unresolved,
     ]
-    checked = checked.withColumns(casts).withColumn("_accepted", ~any_of(issues))
+    cast_all = [f"{cast} AS `{name}`" for name, cast in casts.items()]
+    checked = checked.selectExpr(*checked.columns, *cast_all)
+    checked = checked.selectExpr("*", f"NOT {any_of(issues)} AS _accepted")
+    record = F.expr(f"CASE WHEN NOT _accepted THEN {raw_record(raw.columns)} END")
     return checked.select(
         *contract.columns,
         "_source_file",
         entries(issues).alias("_errors"),
         "_accepted",
-        F.when(~F.col("_accepted"), raw_record(raw.columns)).alias("_original_record"),
+        record.alias("_original_record"),
     )
 
 

@@ -5,7 +5,7 @@ No query writes, collects, or returns times and generated ids.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,21 +112,22 @@ def dq_event_rules(dirty: DirtyStar) -> DataFrame:
     return failing.select("quality_event_id", codes.alias("codes"), messages.alias("messages"))
 
 
-def _dimension_rules(star: Star, table: str, key: str) -> DataFrame:
+def _dimension_rules(frame: DataFrame, table: str, key: str) -> DataFrame:
     contract = CONTRACTS[table]
     failed = F.concat_ws(
-        ",", *[F.when(quality.violates(rule), rule.code) for rule in contract.rules]
+        ",", *[F.when(F.expr(quality.violates(rule)), rule.code) for rule in contract.rules]
     )
-    return star.dims[table].select(F.col(key).cast("string").alias("id"), failed.alias("codes"))
+    return frame.select(F.col(key).cast("string").alias("id"), failed.alias("codes"))
 
 
 @query
 def dq_dimension_rules(star: Star) -> DataFrame:
     """Date horizon, baseline FPY and complexity rules; the middle one is shifted out of range."""
-    shifted = F.col("baseline_fpy") + F.when(F.col("factory_id") == "FAC-3", 1.0).otherwise(0.0)
-    star.dims["dim_factory"] = star.dims["dim_factory"].withColumn("baseline_fpy", shifted)
-    parts = (("dim_date", "date_id"), ("dim_factory", "factory_id"), ("dim_product", "product_id"))
-    dates, factories, products = [_dimension_rules(star, *part) for part in parts]
+    shifted = F.expr("baseline_fpy + CASE WHEN factory_id = 'FAC-3' THEN 1 ELSE 0 END")
+    factories = star.dims["dim_factory"].withColumn("baseline_fpy", shifted)
+    dates = _dimension_rules(star.dims["dim_date"], "dim_date", "date_id")
+    factories = _dimension_rules(factories, "dim_factory", "factory_id")
+    products = _dimension_rules(star.dims["dim_product"], "dim_product", "product_id")
     return dates.unionByName(factories).unionByName(products)
 
 
@@ -140,14 +141,21 @@ def dq_duplicate_vs_target(dirty: DirtyStar) -> DataFrame:
     contract = CONTRACTS["fact_production"]
     typed = bronze.type_batch(dirty.raw_production, contract)
     profile = key_ops.key_profile(typed, contract.key, dirty.stored_production)
-    flagged = key_ops.flag_rows(typed, profile, contract.key, F.col("known"), "is_stored")
+    flagged = key_ops.flag_rows(typed, profile, contract.key, "known", "is_stored")
     return flagged.select("production_lot_id", "production_date", "_source_file", "is_stored")
 
 
+def _parents(dirty: DirtyStar, table: str) -> dict[str, DataFrame]:
+    """Accepted parent rows of a table's references."""
+    names = [reference.parent for reference in CONTRACTS[table].references]
+    large = {"fact_production": dirty.parent_production}
+    return {name: large[name] if name in large else dirty.dims[name] for name in names}
+
+
 @query
 def dq_foreign_key(dirty: DirtyStar) -> DataFrame:
     contract = CONTRACTS["fact_quality_event"]
-    parents = {**dirty.dims, "fact_production": dirty.parent_production}
+    parents = _parents(dirty, "fact_quality_event")
     checked = bronze.check_batch(dirty.raw_events, contract, parents=parents)
     wrong = F.filter("_errors", lambda found: found["code"] == "INVALID_FOREIGN_KEY")
     messages = F.concat_ws("; ", F.transform(wrong, lambda found: found["message"]))
@@ -159,12 +167,12 @@ def _checked_production(dirty: DirtyStar) -> DataFrame:
         dirty.raw_production,
         CONTRACTS["fact_production"],
         stored=dirty.stored_production,
-        parents=dirty.dims,
+        parents=_parents(dirty, "fact_production"),
     )
 
 
 def _checked_events(dirty: DirtyStar) -> DataFrame:
-    parents = {**dirty.dims, "fact_production": dirty.parent_production}
+    parents = _parents(dirty, "fact_quality_event")
     return bronze.check_batch(dirty.raw_events, CONTRACTS["fact_quality_event"], parents=parents)
 
 
@@ -209,17 +217,28 @@ def normalize_text(dirty: DirtyStar) -> DataFrame:
     return normalize(events, ("defect_id",), ("disposition",), ("inspection_stage",))
 
 
-def _silver_dims(dirty: DirtyStar, normalize_first: bool = True) -> dict[str, DataFrame]:
-    dims: dict[str, DataFrame] = {}
-    for table, frame in dirty.bronze_dims.items():
-        factories = dims.get("dim_factory")
-        dims[table] = silver.conform_dimension(frame, table, factories, normalize_first)
-    return dims
+def _silver_dims(
+    dirty: DirtyStar, names: Sequence[str], normalize_first: bool = True
+) -> dict[str, DataFrame]:
+    """The named conformed dimensions."""
+
+    def conform(name: str, factories: DataFrame | None = None) -> DataFrame:
+        frame = dirty.bronze_dims[name]
+        return silver.conform_dimension(frame, name, factories, normalize_first)
+
+    factories = conform("dim_factory")
+    return {
+        name: factories if name == "dim_factory" else conform(name, factories) for name in names
+    }
+
+
+PRODUCTION_DIMS = ("dim_date", "dim_factory", "dim_line", "dim_product")
+EVENT_DIMS = (*PRODUCTION_DIMS, "dim_component", "dim_supplier", "dim_defect")
 
 
 def _register_dimension(table: str) -> None:
     def build(spark: SparkSession, folder: str) -> DataFrame:
-        return _silver_dims(DirtyStar(spark, folder))[table]
+        return _silver_dims(DirtyStar(spark, folder), (table,))[table]
 
     QUERIES[f"silver_{table}"] = build
 
@@ -229,12 +248,12 @@ for _table in silver.DIMENSIONS:
 
 
 def _silver_production(dirty: DirtyStar, normalize_first: bool = True) -> DataFrame:
-    dims = _silver_dims(dirty, normalize_first)
+    dims = _silver_dims(dirty, PRODUCTION_DIMS, normalize_first)
     return silver.conform_production(dirty.bronze_production, dims, normalize_first)
 
 
 def _silver_events(dirty: DirtyStar, normalize_first: bool = True) -> DataFrame:
-    dims = _silver_dims(dirty, normalize_first)
+    dims = _silver_dims(dirty, EVENT_DIMS, normalize_first)
     production = silver.conform_production(dirty.bronze_production, dims, normalize_first)
     return silver.conform_events(dirty.bronze_events, production, dims, normalize_first)
 
@@ -261,7 +280,7 @@ def silver_fact_quality_event_source_order(dirty: DirtyStar) -> DataFrame:
 
 @query
 def bronze_to_gold_factory_quality(dirty: DirtyStar) -> DataFrame:
-    dims = _silver_dims(dirty)
+    dims = _silver_dims(dirty, PRODUCTION_DIMS)
     production = silver.conform_production(dirty.bronze_production, dims)
     return gold.factory_quality(production, dims["dim_factory"])
 

@@ -7,17 +7,100 @@ parts of a lot. Dimensions come from the smaller tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-SEVERITIES = ("Low", "Medium", "High")
-
-
-def numbered(prefix: str, value: Column) -> Column:
-    return F.concat(F.lit(f"{prefix}-"), value.cast("string"))
+from pyspark.sql import DataFrame, SparkSession
+
+FACTORY = "concat('FAC-', supp % 5)"
+LINE = "concat('LINE-', supp % 25)"
+PRODUCT = "concat('PROD-', part % 6)"
+STAGE = "element_at(array('incoming', 'in_process', 'final', 'test'), CAST(n % 4 + 1 AS INT))"
+
+
+class Lazy(Mapping):
+    """Frames by name, each built when first asked for."""
+
+    def __init__(self, names: tuple[str, ...], build: Callable[[str], DataFrame]) -> None:
+        self._names, self._build, self._built = names, build, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+# Dimension -> (source table, columns); ``c`` numbers the residue classes of a part column.
+DIMS = {
+    "dim_date": ("lineitem", ()),
+    "dim_factory": (
+        "region",
+        (
+            "concat('FAC-', r_regionkey) AS factory_id",
+            "concat('FC', r_regionkey) AS factory_code",
+            "r_name AS factory_name",
+            "concat('Country ', r_regionkey) AS country",
+            "0.9D + r_regionkey / 100 AS baseline_fpy",
+        ),
+    ),
+    "dim_line": (
+        "nation",
+        (
+            "concat('LINE-', n_nationkey) AS line_id",
+            "concat('L', n_nationkey) AS line_code",
+            "n_name AS line_name",
+            "concat('FAC-', n_regionkey) AS factory_id",
+            "n_nationkey % 5 = 4 AS is_ramp_line",
+        ),
+    ),
+    "dim_product": (
+        "p_partkey % 6",
+        (
+            "concat('PROD-', c) AS product_id",
+            "concat('P', c) AS product_code",
+            "concat('Product ', c) AS product_name",
+            "concat('Family ', c % 3) AS product_family",
+            "c / 100 AS complexity_risk",
+        ),
+    ),
+    "dim_component": (
+        "p_partkey % 12",
+        (
+            "concat('COMP-', c) AS component_id",
+            "concat('C', c) AS component_code",
+            "concat('Component ', c) AS component_name",
+            "concat('Family ', c % 3) AS component_family",
+        ),
+    ),
+    "dim_supplier": (
+        "supplier",
+        (
+            "concat('SUP-', s_suppkey) AS supplier_id",
+            "concat('S', s_suppkey) AS supplier_code",
+            "s_name AS supplier_name",
+            "concat('Region ', s_nationkey % 5) AS supplier_region",
+        ),
+    ),
+    "dim_defect": (
+        "p_size % 6",
+        (
+            "concat('DEF-', c) AS defect_id",
+            "concat('D', c) AS defect_code",
+            "concat('Defect ', c) AS defect_name",
+            "concat('Category ', c % 2) AS defect_category",
+            "element_at(array('Low', 'Medium', 'High'), CAST(c % 3 + 1 AS INT)) AS severity",
+        ),
+    ),
+}
 
 
 @dataclass(frozen=True)
@@ -33,150 +116,108 @@ class Star:
     @cached_property
     def lots(self) -> DataFrame:
         """Line items with the quantities every fact is derived from."""
-        quantity = F.floor("l_quantity").cast("long")
-        percent = F.round(F.col("l_discount") * 100).cast("long")
-        lot = F.concat_ws("-", F.lit("PLOT"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", quantity)
-        items = self.read("lineitem").select(
-            F.col("l_orderkey").alias("k"),
-            F.col("l_linenumber").alias("n"),
-            F.col("l_partkey").alias("part"),
-            F.col("l_suppkey").alias("supp"),
-            F.col("l_returnflag").alias("flag"),
-            F.col("l_linestatus").alias("line_status"),
-            lot.alias("production_lot_id"),
-            F.to_date("l_shipdate").alias("day"),
-            quantity.alias("q"),
-            F.floor(quantity * percent / F.lit(100.0)).cast("long").alias("fail"),
+        items = self.read("lineitem").selectExpr(
+            "l_orderkey AS k",
+            "l_linenumber AS n",
+            "l_partkey AS part",
+            "l_suppkey AS supp",
+            "l_returnflag = 'R' AS returned",
+            "l_returnflag = 'A' AND l_linestatus = 'F' AS scrapped",
+            "CAST(l_shipdate AS DATE) AS day",
+            "CAST(l_quantity AS BIGINT) AS q",
+            "CAST(l_quantity AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) div 100 AS fail",
         )
-        half = F.expr("fail div 2")
-        scrapped = (F.col("flag") == "A") & (F.col("line_status") == "F")
-        return items.withColumns(
-            {
-                "made": F.col("q") - F.when(F.col("n") == 7, 1).otherwise(0),
-                "rework": F.when(F.col("flag") == "R", F.col("fail")).otherwise(half),
-                "scrap": F.when(scrapped, F.col("fail") - half).otherwise(F.lit(0)),
-                "fate": F.when(F.col("flag") == "R", "rework").when(scrapped, "scrap").otherwise("fail"),
-            }
+        return items.selectExpr(
+            "*",
+            "concat_ws('-', 'PLOT', k, n, part, supp, q) AS production_lot_id",
+            "fail div 2 AS half",
+            "q - CASE WHEN n = 7 THEN 1 ELSE 0 END AS made",
+            "CASE WHEN returned THEN fail ELSE fail div 2 END AS rework",
+            "CASE WHEN scrapped THEN fail - fail div 2 ELSE 0 END AS scrap",
+            "CASE WHEN returned THEN 'rework' WHEN scrapped THEN 'scrap' ELSE 'fail' END AS fate",
         )
 
     @cached_property
-    def production(self) -> DataFrame:
-        return self.lots.select(
+    def keyed_production(self) -> DataFrame:
+        return self.lots.selectExpr(
+            "k",
             "production_lot_id",
-            F.col("day").alias("production_date"),
-            numbered("FAC", F.col("supp") % 5).alias("factory_id"),
-            numbered("LINE", F.col("supp") % 25).alias("line_id"),
-            numbered("PROD", F.col("part") % 6).alias("product_id"),
-            F.col("q").alias("production_qty"),
-            (F.col("q") - F.col("fail")).alias("pass_qty"),
-            F.col("q").alias("started_qty"),
-            F.col("made").cast("long").alias("completed_qty"),
-            (F.col("q") - F.col("fail")).alias("first_pass_pass_qty"),
-            F.col("fail").alias("fail_qty"),
-            F.col("rework").cast("long").alias("rework_qty"),
-            F.col("scrap").cast("long").alias("scrap_qty"),
+            "day AS production_date",
+            f"{FACTORY} AS factory_id",
+            f"{LINE} AS line_id",
+            f"{PRODUCT} AS product_id",
+            "q AS production_qty",
+            "q - fail AS pass_qty",
+            "q AS started_qty",
+            "CAST(made AS BIGINT) AS completed_qty",
+            "q - fail AS first_pass_pass_qty",
+            "fail AS fail_qty",
+            "CAST(rework AS BIGINT) AS rework_qty",
+            "CAST(scrap AS BIGINT) AS scrap_qty",
         )
 
+    @cached_property
+    def production(self) -> DataFrame:
+        return self.keyed_production.drop("k")
+
     @cached_property
     def event_parts(self) -> DataFrame:
         """The failure parts of each lot: ``s`` is 1 or 2 and ``part_qty`` is positive."""
-        half = F.expr("fail div 2")
-        sizes = F.array(F.col("fail") - half, half)
-        parts = self.lots.select("*", F.posexplode(sizes).alias("at", "part_qty"))
-        return parts.filter("part_qty > 0").withColumn("s", F.col("at") + 1).drop("at")
+        parts = self.lots.selectExpr("*", "posexplode(array(fail - half, half)) AS (at, part_qty)")
+        return parts.filter("part_qty > 0").selectExpr("*", "at + 1 AS s")
+
+    @cached_property
+    def keyed_events(self) -> DataFrame:
+        return self.event_parts.selectExpr(
+            "k",
+            "concat_ws('-', production_lot_id, s) AS quality_event_id",
+            "day AS event_date",
+            "CAST(day AS TIMESTAMP) + INTERVAL 12 HOURS AS event_timestamp",
+            "production_lot_id",
+            f"{FACTORY} AS factory_id",
+            f"{LINE} AS line_id",
+            f"{PRODUCT} AS product_id",
+            "concat('COMP-', (part + s) % 12) AS component_id",
+            "CASE WHEN (supp + s) % 10 <> 0 THEN concat('SUP-', supp) END AS supplier_id",
+            "concat('CLOT-', part % 50) AS component_lot_id",
+            "concat('DEF-', (n + s) % 6) AS defect_id",
+            f"{STAGE} AS inspection_stage",
+            "CAST(part_qty AS BIGINT) AS event_quantity",
+            "n % 5 <> 0 AS is_first_pass_failure",
+            "fate = 'rework' AS is_rework",
+            "fate = 'scrap' AS is_scrap",
+            "fate AS disposition",
+        )
 
     @cached_property
     def events(self) -> DataFrame:
         """Conformed events, with the supplier-attribution flag."""
-        s = F.col("s")
-        stage = F.element_at(
-            F.array(*[F.lit(x) for x in ("incoming", "in_process", "final", "test")]),
-            (F.col("n") % 4 + 1).cast("int"),
-        )
-        supplier = F.when((F.col("supp") + s) % 10 == 0, F.lit(None)).otherwise(
-            numbered("SUP", F.col("supp"))
-        )
-        noon = F.col("day").cast("timestamp") + F.expr("INTERVAL 12 HOURS")
-        return self.event_parts.select(
-            F.concat_ws("-", "production_lot_id", s).alias("quality_event_id"),
-            F.col("day").alias("event_date"),
-            noon.alias("event_timestamp"),
-            "production_lot_id",
-            numbered("FAC", F.col("supp") % 5).alias("factory_id"),
-            numbered("LINE", F.col("supp") % 25).alias("line_id"),
-            numbered("PROD", F.col("part") % 6).alias("product_id"),
-            numbered("COMP", (F.col("part") + s) % 12).alias("component_id"),
-            supplier.alias("supplier_id"),
-            numbered("CLOT", F.col("part") % 50).alias("component_lot_id"),
-            numbered("DEF", (F.col("n") + s) % 6).alias("defect_id"),
-            stage.alias("inspection_stage"),
-            F.col("part_qty").cast("long").alias("event_quantity"),
-            (F.col("n") % 5 != 0).alias("is_first_pass_failure"),
-            (F.col("fate") == "rework").alias("is_rework"),
-            (F.col("fate") == "scrap").alias("is_scrap"),
-            F.col("fate").alias("disposition"),
-        ).withColumn("is_supplier_attributed", F.col("supplier_id").isNotNull())
+        attributed = "supplier_id IS NOT NULL AS is_supplier_attributed"
+        return self.keyed_events.drop("k").selectExpr("*", attributed)
 
     @cached_property
-    def dims(self) -> dict[str, DataFrame]:
-        return {
-            "dim_date": self._dates(),
-            "dim_factory": self.read("region").select(
-                numbered("FAC", F.col("r_regionkey")).alias("factory_id"),
-                F.concat(F.lit("FC"), F.col("r_regionkey")).alias("factory_code"),
-                F.col("r_name").alias("factory_name"),
-                F.concat(F.lit("Country "), F.col("r_regionkey")).alias("country"),
-                (F.lit(0.9) + F.col("r_regionkey") / 100).alias("baseline_fpy"),
-            ),
-            "dim_line": self.read("nation").select(
-                numbered("LINE", F.col("n_nationkey")).alias("line_id"),
-                F.concat(F.lit("L"), F.col("n_nationkey")).alias("line_code"),
-                F.col("n_name").alias("line_name"),
-                numbered("FAC", F.col("n_regionkey")).alias("factory_id"),
-                (F.col("n_nationkey") % 5 == 4).alias("is_ramp_line"),
-            ),
-            "dim_product": self._classes("p_partkey", 6, "product", "PROD").withColumn(
-                "complexity_risk", F.col("c") / 100
-            ).drop("c"),
-            "dim_component": self._classes("p_partkey", 12, "component", "COMP").drop("c"),
-            "dim_supplier": self.read("supplier").select(
-                numbered("SUP", F.col("s_suppkey")).alias("supplier_id"),
-                F.concat(F.lit("S"), F.col("s_suppkey")).alias("supplier_code"),
-                F.col("s_name").alias("supplier_name"),
-                F.concat(F.lit("Region "), F.col("s_nationkey") % 5).alias("supplier_region"),
-            ),
-            "dim_defect": self.read("part").select((F.col("p_size") % 6).alias("c")).distinct().select(
-                numbered("DEF", F.col("c")).alias("defect_id"),
-                F.concat(F.lit("D"), F.col("c")).alias("defect_code"),
-                F.concat(F.lit("Defect "), F.col("c")).alias("defect_name"),
-                F.concat(F.lit("Category "), F.col("c") % 2).alias("defect_category"),
-                F.element_at(F.array(*[F.lit(x) for x in SEVERITIES]), (F.col("c") % 3 + 1).cast("int")).alias("severity"),
-            ),
-        }
+    def dims(self) -> Mapping[str, DataFrame]:
+        return Lazy(tuple(DIMS), self._dim)
+
+    def _dim(self, name: str) -> DataFrame:
+        source, columns = DIMS[name]
+        if name == "dim_date":
+            return self._dates()
+        if source.startswith("p_"):
+            return self.read("part").selectExpr(f"{source} AS c").distinct().selectExpr(*columns)
+        return self.read(source).selectExpr(*columns)
 
     def _dates(self) -> DataFrame:
-        days = self.read("lineitem").select(F.to_date("l_shipdate").alias("date")).distinct()
-        weekday = (F.weekday("date") + 1).cast("int")
-        return days.select(
-            F.date_format("date", "yyyyMMdd").cast("int").alias("date_id"),
+        days = self.read("lineitem").selectExpr("CAST(l_shipdate AS DATE) AS date").distinct()
+        return days.selectExpr(
+            "CAST(date_format(date, 'yyyyMMdd') AS INT) AS date_id",
             "date",
-            F.year("date").alias("year"),
-            F.quarter("date").alias("quarter"),
-            F.month("date").alias("month"),
-            F.weekofyear("date").alias("week_of_year"),
-            weekday.alias("day_of_week"),
-            (weekday >= 6).alias("is_weekend"),
-        )
-
-    def _classes(self, column: str, count: int, name: str, prefix: str) -> DataFrame:
-        """Entities given by the residue classes of a part column."""
-        classes = self.read("part").select((F.col(column) % count).alias("c")).distinct()
-        return classes.select(
-            numbered(prefix, F.col("c")).alias(f"{name}_id"),
-            F.concat(F.lit(prefix[0]), F.col("c")).alias(f"{name}_code"),
-            F.concat(F.lit(f"{name.title()} "), F.col("c")).alias(f"{name}_name"),
-            F.concat(F.lit("Family "), F.col("c") % 3).alias(f"{name}_family"),
-            "c",
+            "year(date) AS year",
+            "quarter(date) AS quarter",
+            "month(date) AS month",
+            "weekofyear(date) AS week_of_year",
+            "weekday(date) + 1 AS day_of_week",
+            "weekday(date) >= 5 AS is_weekend",
         )
 
     @cached_property
@@ -184,6 +225,11 @@ class Star:
         return {**self.dims, "fact_production": self.production, "fact_quality_event": self.events}
 
 
+def replace(frame: DataFrame, changes: Mapping[str, str]) -> DataFrame:
+    """The frame with some columns computed anew, in place."""
+    return frame.selectExpr(*[f"{changes[c]} AS {c}" if c in changes else c for c in frame.columns])
+
+
 @dataclass(frozen=True)
 class DirtyStar(Star):
     """Deliberately broken copies of the star schema.
@@ -194,171 +240,148 @@ class DirtyStar(Star):
 
     @cached_property
     def raw_production(self) -> DataFrame:
-        k = F.col("k")
-
-        rows = self.production.columns
-        base = self.lots.select(
-            "k",
+        base = self.lots.selectExpr(
             "production_lot_id",
-            F.col("day").cast("string").alias("production_date"),
-            F.when(k % 79 == 0, "FAC-404").otherwise(numbered("FAC", F.col("supp") % 5)).alias("factory_id"),
-            numbered("LINE", F.col("supp") % 25).alias("line_id"),
-            F.when(k % 83 != 0, numbered("PROD", F.col("part") % 6)).alias("product_id"),
-            F.when(k % 89 == 0, "abc").otherwise(F.col("q").cast("string")).alias("production_qty"),
-            (F.col("q") - F.col("fail") + F.when(k % 67 == 0, 1).otherwise(0)).cast("string").alias("pass_qty"),
-            F.when(k % 97 == 0, "-5").otherwise(F.col("q").cast("string")).alias("started_qty"),
-            F.col("made").cast("string").alias("completed_qty"),
-            (F.col("q") - F.col("fail")).cast("string").alias("first_pass_pass_qty"),
-            F.col("fail").cast("string").alias("fail_qty"),
-            F.when(k % 61 == 0, F.col("fail") + 1).otherwise(F.col("rework")).cast("string").alias("rework_qty"),
-            F.col("scrap").cast("string").alias("scrap_qty"),
-            F.concat(F.lit("note "), k % 3).alias("operator_note"),
-            F.concat(F.lit("landing/fact_production_"), k % 4, F.lit(".parquet")).alias("_source_file"),
-            F.explode(F.sequence(F.lit(1), F.when(k % 73 == 0, 2).otherwise(1))).alias("_copy"),
+            "CAST(day AS STRING) AS production_date",
+            f"CASE WHEN k % 79 = 0 THEN 'FAC-404' ELSE {FACTORY} END AS factory_id",
+            f"{LINE} AS line_id",
+            f"CASE WHEN k % 83 <> 0 THEN {PRODUCT} END AS product_id",
+            "CASE WHEN k % 89 = 0 THEN 'abc' ELSE CAST(q AS STRING) END AS production_qty",
+            "CAST(q - fail + CASE WHEN k % 67 = 0 THEN 1 ELSE 0 END AS STRING) AS pass_qty",
+            "CASE WHEN k % 97 = 0 THEN '-5' ELSE CAST(q AS STRING) END AS started_qty",
+            "CAST(made AS STRING) AS completed_qty",
+            "CAST(q - fail AS STRING) AS first_pass_pass_qty",
+            "CAST(fail AS STRING) AS fail_qty",
+            "CAST(CASE WHEN k % 61 = 0 THEN fail + 1 ELSE rework END AS STRING) AS rework_qty",
+            "CAST(scrap AS STRING) AS scrap_qty",
+            "concat('note ', k % 3) AS operator_note",
+            "concat('landing/fact_production_', k % 4, '.parquet') AS _source_file",
+            "explode(sequence(1, CASE WHEN k % 73 = 0 THEN 2 ELSE 1 END)) AS _copy",
         )
-        return base.select(*rows, "operator_note", "_source_file")
+        return base.drop("_copy")
 
     @cached_property
     def raw_events(self) -> DataFrame:
-        k, s, n = F.col("k"), F.col("s"), F.col("n")
-        stage = F.element_at(
-            F.array(*[F.lit(x) for x in ("incoming", "in_process", "final", "test")]),
-            (n % 4 + 1).cast("int"),
-        )
-        stamp_day = F.date_add("day", F.when(k % 43 == 0, 1).otherwise(0))
-        return self.event_parts.select(
-            F.concat_ws("-", "production_lot_id", s).alias("quality_event_id"),
-            F.col("day").cast("string").alias("event_date"),
-            F.concat(stamp_day.cast("string"), F.lit("T12:00:00")).alias("event_timestamp"),
-            F.when(k % 47 == 0, "PLOT-0").otherwise(F.col("production_lot_id")).alias("production_lot_id"),
-            numbered("FAC", F.col("supp") % 5).alias("factory_id"),
-            numbered("LINE", F.col("supp") % 25).alias("line_id"),
-            numbered("PROD", F.col("part") % 6).alias("product_id"),
-            numbered("COMP", (F.col("part") + s) % 12).alias("component_id"),
-            F.when((F.col("supp") + s) % 10 == 0, F.lit(None))
-            .when(k % 53 == 0, "SUP-404")
-            .otherwise(numbered("SUP", F.col("supp")))
-            .alias("supplier_id"),
-            numbered("CLOT", F.col("part") % 50).alias("component_lot_id"),
-            numbered("DEF", (n + s) % 6).alias("defect_id"),
-            F.when(k % 31 == 0, F.upper(stage)).otherwise(stage).alias("inspection_stage"),
-            F.when(k % 41 == 0, "0").otherwise(F.col("part_qty").cast("string")).alias("event_quantity"),
-            F.when(n % 5 != 0, "true").otherwise("false").alias("is_first_pass_failure"),
-            F.when(k % 29 == 0, "maybe").when(F.col("fate") == "rework", "true").otherwise("false").alias("is_rework"),
-            F.when(F.col("fate") == "scrap", "true").otherwise("false").alias("is_scrap"),
-            F.when(k % 37 == 0, "pass").otherwise(F.col("fate")).alias("disposition"),
-            F.concat(F.lit("landing/fact_quality_event_"), k % 4, F.lit(".parquet")).alias("_source_file"),
+        late = "date_add(day, CASE WHEN k % 43 = 0 THEN 1 ELSE 0 END)"
+        return self.event_parts.selectExpr(
+            "concat_ws('-', production_lot_id, s) AS quality_event_id",
+            "CAST(day AS STRING) AS event_date",
+            f"concat({late}, 'T12:00:00') AS event_timestamp",
+            "CASE WHEN k % 47 = 0 THEN 'PLOT-0' ELSE production_lot_id END AS production_lot_id",
+            f"{FACTORY} AS factory_id",
+            f"{LINE} AS line_id",
+            f"{PRODUCT} AS product_id",
+            "concat('COMP-', (part + s) % 12) AS component_id",
+            "CASE WHEN (supp + s) % 10 = 0 THEN NULL WHEN k % 53 = 0 THEN 'SUP-404'"
+            " ELSE concat('SUP-', supp) END AS supplier_id",
+            "concat('CLOT-', part % 50) AS component_lot_id",
+            "concat('DEF-', (n + s) % 6) AS defect_id",
+            f"CASE WHEN k % 31 = 0 THEN upper({STAGE}) ELSE {STAGE} END AS inspection_stage",
+            "CASE WHEN k % 41 = 0 THEN '0' ELSE CAST(part_qty AS STRING) END AS event_quantity",
+            "CAST(n % 5 <> 0 AS STRING) AS is_first_pass_failure",
+            "CASE WHEN k % 29 = 0 THEN 'maybe' ELSE CAST(fate = 'rework' AS STRING) END AS is_rework",
+            "CAST(fate = 'scrap' AS STRING) AS is_scrap",
+            "CASE WHEN k % 37 = 0 THEN 'pass' ELSE fate END AS disposition",
+            "concat('landing/fact_quality_event_', k % 4, '.parquet') AS _source_file",
         )
 
     @cached_property
     def stored_production(self) -> DataFrame:
         """Accepted lots of an earlier batch."""
-        return self._keyed_production.filter("k % 59 = 0").drop("k")
+        return self.keyed_production.filter("k % 59 = 0").drop("k")
 
     @cached_property
     def parent_production(self) -> DataFrame:
         """Accepted lots that events may refer to; some parents were rejected."""
-        return self._keyed_production.filter("k % 11 <> 0").drop("k")
-
-    @cached_property
-    def _keyed_production(self) -> DataFrame:
-        return self.production.withColumn("k", F.split("production_lot_id", "-")[1].cast("long"))
+        return self.keyed_production.filter("k % 11 <> 0").drop("k")
 
     @cached_property
     def audit(self) -> DataFrame:
         """Audit entries of earlier runs, derived from the landed files."""
-        files = self.raw_production.groupBy("_source_file").agg(F.count(F.lit(1)).alias("source_rows"))
-        number = F.substring("_source_file", 25, 1).cast("int")
-        entry = files.select(
-            F.when(number == 2, "fact_quality_event").otherwise("fact_production").alias("table_name"),
-            F.col("_source_file").alias("source_file"),
-            F.concat(F.lit("batch-"), number).alias("batch_id"),
-            "source_rows",
-            (F.col("source_rows") - number).alias("valid_rows"),
-            number.cast("long").alias("quarantined_rows"),
-            F.when(number == 1, "FAILED").otherwise("SUCCESS").alias("status"),
-            F.explode(F.sequence(F.lit(1), F.when(number == 3, 2).otherwise(1))).alias("_entry"),
+        files = self.raw_production.groupBy("_source_file").count()
+        files = files.selectExpr(
+            "_source_file AS source_file",
+            "count AS source_rows",
+            "CAST(substring(_source_file, 25, 1) AS INT) AS f",
         )
-        return entry.drop("_entry")
+        return files.selectExpr(
+            "CASE WHEN f = 2 THEN 'fact_quality_event' ELSE 'fact_production' END AS table_name",
+            "source_file",
+            "concat('batch-', f) AS batch_id",
+            "source_rows",
+            "source_rows - f AS valid_rows",
+            "CAST(f AS BIGINT) AS quarantined_rows",
+            "CASE WHEN f = 1 THEN 'FAILED' ELSE 'SUCCESS' END AS status",
+            "explode(sequence(1, CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS _entry",
+        ).drop("_entry")
 
-    def _versions(self, frame: DataFrame, again: Column, changes: dict[str, Column]) -> DataFrame:
+    def _versions(self, frame: DataFrame, again: str, changes: Mapping[str, str]) -> DataFrame:
         """Each row as first sent, and once more, later and changed, where ``again`` holds."""
-        sent = frame.withColumn("_again", again).withColumn(
-            "_version", F.explode(F.sequence(F.lit(1), F.when(F.col("_again"), 2).otherwise(1)))
+        sent = frame.selectExpr(
+            "*", f"explode(sequence(1, CASE WHEN {again} THEN 2 ELSE 1 END)) AS _version"
+        )
+        later = {c: f"CASE WHEN _version = 2 THEN {text} ELSE {c} END" for c, text in changes.items()}
+        return (
+            replace(sent, later)
+            .selectExpr(
+                "*",
+                "make_timestamp(2026, _version, 1, 0, 0, 0) AS _ingested_at",
+                "concat('file-', _version) AS _source_file",
+                "concat('batch-', _version) AS _batch_id",
+            )
+            .drop("_version")
         )
-        later = F.col("_version") == 2
-        updates = {c: F.when(later, value).otherwise(F.col(c)) for c, value in changes.items()}
-        stamp = F.when(later, F.lit("2026-02-01 00:00:00")).otherwise(F.lit("2026-01-01 00:00:00"))
-        return sent.withColumns(
-            {
-                **updates,
-                "_ingested_at": stamp.cast("timestamp"),
-                "_source_file": F.concat(F.lit("file-"), F.col("_version")),
-                "_batch_id": F.concat(F.lit("batch-"), F.col("_version")),
-            }
-        ).drop("_again", "_version")
 
     @cached_property
-    def bronze_dims(self) -> dict[str, DataFrame]:
+    def bronze_dims(self) -> Mapping[str, DataFrame]:
         """Dimension rows with re-sent, renamed versions and untidy text."""
-        out = {}
-        for table, frame in self.dims.items():
-            if table == "dim_date":
-                again = F.col("date_id") % 3 == 0
-                out[table] = self._versions(frame, again, {"is_weekend": ~F.col("is_weekend")})
-                continue
-            stem = table.removeprefix("dim_")
-            code, name = f"{stem}_code", f"{stem}_name"
-            number = F.split(f"{stem}_id", "-")[1].cast("int")
-            changes = {
-                name: F.concat(F.lit(" "), F.col(name), F.lit(" v2 ")),
-                code: F.lower(F.col(code)),
-                f"{stem}_id": F.concat(F.lit(" "), F.col(f"{stem}_id")),
-            }
-            if table == "dim_line":
-                changes["factory_id"] = F.when(number % 7 == 3, "FAC-404").otherwise(F.col("factory_id"))
-            out[table] = self._versions(frame, number % 3 == 0, changes)
-        return out
+        return Lazy(tuple(DIMS), self._bronze_dim)
+
+    def _bronze_dim(self, table: str) -> DataFrame:
+        if table == "dim_date":
+            return self._versions(
+                self.dims[table], "date_id % 3 = 0", {"is_weekend": "NOT is_weekend"}
+            )
+        stem = table.removeprefix("dim_")
+        number = f"CAST(substring_index({stem}_id, '-', -1) AS INT)"
+        changes = {
+            f"{stem}_name": f"concat(' ', {stem}_name, ' v2 ')",
+            f"{stem}_code": f"lower({stem}_code)",
+            f"{stem}_id": f"concat(' ', {stem}_id)",
+        }
+        if table == "dim_line":
+            unknown = f"CASE WHEN {number} % 7 = 3 THEN 'FAC-404' ELSE factory_id END"
+            changes["factory_id"] = unknown
+        return self._versions(self.dims[table], f"{number} % 3 = 0", changes)
 
     @cached_property
     def bronze_production(self) -> DataFrame:
         """Lots with later corrections, unknown parents, broken totals and padded ids."""
-        k = F.col("k")
-        rows = self._keyed_production.withColumns(
-            {
-                "factory_id": F.when(k % 79 == 0, "FAC-404").otherwise(F.col("factory_id")),
-                "pass_qty": F.col("pass_qty") + F.when(k % 67 == 0, 1).otherwise(0),
-                "product_id": F.when(k % 53 == 0, F.concat(F.lit(" "), "product_id")).otherwise(
-                    F.col("product_id")
-                ),
-                "line_id": F.when(k % 71 == 0, F.concat(F.lit("LINE-"), (k + 1) % 25)).otherwise(F.col("line_id")),
-            }
-        )
+        broken = {
+            "factory_id": "CASE WHEN k % 79 = 0 THEN 'FAC-404' ELSE factory_id END",
+            "pass_qty": "pass_qty + CASE WHEN k % 67 = 0 THEN 1 ELSE 0 END",
+            "product_id": "CASE WHEN k % 53 = 0 THEN concat(' ', product_id) ELSE product_id END",
+            "line_id": "CASE WHEN k % 71 = 0 THEN concat('LINE-', (k + 1) % 25) ELSE line_id END",
+        }
         later = {
-            "completed_qty": F.greatest(F.col("completed_qty") - 1, F.lit(0)),
-            "scrap_qty": F.when(k % 118 == 0, F.col("fail_qty") + 1).otherwise(F.col("scrap_qty")),
+            "completed_qty": "greatest(completed_qty - 1, 0)",
+            "scrap_qty": "CASE WHEN k % 118 = 0 THEN fail_qty + 1 ELSE scrap_qty END",
         }
-        return self._versions(rows, k % 59 == 0, later).drop("k")
+        rows = replace(self.keyed_production, broken)
+        return self._versions(rows, "k % 59 = 0", later).drop("k")
 
     @cached_property
     def bronze_events(self) -> DataFrame:
         """Events with later corrections, orphans, upper-case enumerations and zero quantities."""
-        rows = self.events.drop("is_supplier_attributed").withColumn(
-            "k", F.split("production_lot_id", "-")[1].cast("long")
-        )
-        k = F.col("k")
-        rows = rows.withColumns(
-            {
-                "production_lot_id": F.when(k % 47 == 0, "PLOT-0").otherwise(F.col("production_lot_id")),
-                "event_quantity": F.when(k % 41 == 0, 0).otherwise(F.col("event_quantity")),
-                "inspection_stage": F.when(k % 31 == 0, F.upper("inspection_stage")).otherwise(
-                    F.col("inspection_stage")
-                ),
-                "disposition": F.when(k % 37 == 0, "pass").otherwise(F.col("disposition")),
-                "supplier_id": F.when(
-                    (k % 43 == 0) & F.col("supplier_id").isNotNull(), F.lit("SUP-404")
-                ).otherwise(F.col("supplier_id")),
-            }
-        )
-        later = {"event_quantity": F.col("event_quantity") + 1}
-        return self._versions(rows, k % 61 == 0, later).drop("k")
+        broken = {
+            "production_lot_id": "CASE WHEN k % 47 = 0 THEN 'PLOT-0' ELSE production_lot_id END",
+            "event_quantity": "CASE WHEN k % 41 = 0 THEN 0 ELSE event_quantity END",
+            "inspection_stage": "CASE WHEN k % 31 = 0 THEN upper(inspection_stage)"
+            " ELSE inspection_stage END",
+            "disposition": "CASE WHEN k % 37 = 0 THEN 'pass' ELSE disposition END",
+            "supplier_id": "CASE WHEN k % 43 = 0 AND supplier_id IS NOT NULL THEN 'SUP-404'"
+            " ELSE supplier_id END",
+        }
+        rows = replace(self.keyed_events, broken)
+        changes = {"event_quantity": "event_quantity + 1"}
+        return self._versions(rows, "k % 61 = 0", changes).drop("k")
