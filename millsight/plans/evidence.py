@@ -56,8 +56,13 @@ def by_period(
     )
 
 
-def _fpy(name: str) -> Column:
-    passed, failed = F.col(f"pass_quantity_{name}"), F.col(f"fail_quantity_{name}")
+def rate_of(numerator: str, denominator: str, period: str) -> Column:
+    """A rate from the columns :func:`by_period` made for one period."""
+    return ratio(F.col(f"{numerator}_{period}"), F.col(f"{denominator}_{period}"))
+
+
+def fpy_of(period: str) -> Column:
+    passed, failed = F.col(f"pass_quantity_{period}"), F.col(f"fail_quantity_{period}")
     return ratio(passed, passed + failed)
 
 
@@ -109,12 +114,12 @@ def mix_versus_within(
     sums = {name: name for name in FPY_SUMS}
     whole = by_period(only(factory_gold, scope), "production_date", periods, sums)
     products = by_period(only(product_gold, scope), "production_date", periods, sums, ("product_id",))
-    change = F.abs(_fpy("post") - _fpy("pre"))
+    change = F.abs(fpy_of("post") - fpy_of("pre"))
     within = products.agg(F.avg(change).alias("mean_absolute_product_fpy_change")).scalar()
     return whole.select(
-        _fpy("pre").alias("aggregate_pre_fpy"),
-        _fpy("post").alias("aggregate_post_fpy"),
-        (_fpy("post") - _fpy("pre")).alias("aggregate_fpy_change"),
+        fpy_of("pre").alias("aggregate_pre_fpy"),
+        fpy_of("post").alias("aggregate_post_fpy"),
+        (fpy_of("post") - fpy_of("pre")).alias("aggregate_fpy_change"),
         within.alias("mean_absolute_product_fpy_change"),
     )
 
@@ -143,14 +148,11 @@ def learning_curve(
     names = (*FPY_SUMS, "rework_quantity", "production_quantity")
     sums = by_period(only(daily_gold, scope), "production_date", periods, {n: n for n in names})
 
-    def rework(name: str) -> Column:
-        return ratio(F.col(f"rework_quantity_{name}"), F.col(f"production_quantity_{name}"))
-
     curve = sums.select(
-        rework("early").alias("early_rework_rate"),
-        rework("late").alias("late_rework_rate"),
-        _fpy("early").alias("early_fpy"),
-        _fpy("late").alias("late_fpy"),
+        rate_of("rework_quantity", "production_quantity", "early").alias("early_rework_rate"),
+        rate_of("rework_quantity", "production_quantity", "late").alias("late_rework_rate"),
+        fpy_of("early").alias("early_fpy"),
+        fpy_of("late").alias("late_fpy"),
     )
     better = (F.col("early_rework_rate") > F.col("late_rework_rate")) & (
         F.col("early_fpy") < F.col("late_fpy")
@@ -176,7 +178,7 @@ def within_product_stability(
     periods = {"before": before, "after": after}
     sums = {name: name for name in FPY_SUMS}
     products = by_period(only(product_gold, scope), "production_date", periods, sums, ("product_id",))
-    change = F.abs(_fpy("after") - _fpy("before"))
+    change = F.abs(fpy_of("after") - fpy_of("before"))
     measured = products.agg(
         F.count(change).alias("products"), F.avg(change).alias("mean_abs_product_fpy_change")
     )
@@ -242,7 +244,7 @@ def period_pivot(
     """FPY of each named period side by side."""
     sums = {name: name for name in FPY_SUMS}
     grouped = by_period(daily_gold, "production_date", periods, sums, by)
-    return grouped.select(*by, *[_fpy(name).alias(f"fpy_{name}") for name in periods])
+    return grouped.select(*by, *[fpy_of(name).alias(f"fpy_{name}") for name in periods])
 
 
 def stored_rate_mismatches(
