@@ -30,9 +30,7 @@ def ingest_available(
         files = (
             spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", files_per_batch)
-            .option("pathGlobFilter", f"{name}*.parquet")
-            .option("recursiveFileLookup", True)
-            .parquet(ingestion.source)
+            .parquet(f"{ingestion.source.rstrip('/')}/{name}*.parquet")
             .withColumn("_source_file", F.col("_metadata.file_path"))
         )
 
