@@ -13,6 +13,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millsight.sources.landing import spread_small
+
 FACTORY = "concat('FAC-', supp % 5)"
 LINE = "concat('LINE-', supp % 25)"
 PRODUCT = "concat('PROD-', part % 6)"
@@ -113,10 +115,13 @@ class Star:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
+    def line_items(self) -> DataFrame:
+        return self.read("lineitem")
+
     @cached_property
     def lots(self) -> DataFrame:
         """Line items with the quantities every fact is derived from."""
-        items = self.read("lineitem").selectExpr(
+        items = self.line_items().selectExpr(
             "l_orderkey AS k",
             "l_linenumber AS n",
             "l_partkey AS part",
@@ -238,6 +243,10 @@ class DirtyStar(Star):
     accepted rows of several batches with re-sent records, padded text and unresolved relations.
     """
 
+    def line_items(self) -> DataFrame:
+        """Checks and conforming do much work per row before their first shuffle."""
+        return spread_small(self.read("lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+
     @cached_property
     def raw_production(self) -> DataFrame:
         base = self.lots.selectExpr(

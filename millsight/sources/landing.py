@@ -19,6 +19,17 @@ def scan_files(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def spread_small(frame: DataFrame, *keys: str) -> DataFrame:
+    """Give a scan with fewer splits than the session has cores work for all of them.
+
+    A Parquet file of one row group is one split and would keep all row-wise work on one core.
+    Inputs with enough splits pass through unchanged, so the extra shuffle is bounded by cores x
+    split size and never happens on a large input.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, *keys)
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, actual_rows) of each frame, as one relation."""
     counts = [

@@ -10,11 +10,14 @@ import tempfile
 import duckdb
 import pytest
 
+from millsight.contracts import PRODUCTION_KEY
 from millsight.functions.calendar import Period
+from millsight.operators.keys import latest_record
+from millsight.plans.bronze import check_batch
 from millsight.plans.evidence import component_lots
 from millsight.registry.oracle import ORACLES
-from millsight.registry.spark_queries import QUERIES
-from millsight.registry.star import Star
+from millsight.registry.spark_queries import CONTRACTS, QUERIES
+from millsight.registry.star import DirtyStar, Star
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem")
@@ -75,10 +78,28 @@ def test_plans_stay_distributed(spark, name):
 
 
 def test_latest_record_limits_before_the_shuffle(spark):
-    text = plan(QUERIES["latest_record"](spark, SF))
+    sent = Star(spark, SF).production.selectExpr("*", "timestamp'2026-01-01' AS _ingested_at")
+    text = plan(latest_record(sent, PRODUCTION_KEY))
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
 
 
+def test_checked_rows_are_not_shuffled_once_keys_are_settled(spark):
+    """With its key relations written and read back, a batch goes from scan to output in one pass."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+    def settle(frame, name):
+        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+
+    star = DirtyStar(spark, SF)
+    star.raw_events.write.parquet(f"{folder}/raw")
+    raw = spark.read.parquet(f"{folder}/raw")
+    contract = CONTRACTS["fact_quality_event"]
+    parents = {"fact_production": star.parent_production}
+    text = plan(check_batch(raw, contract, parents=parents, settle=settle))
+    assert "hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
 def test_daily_model_needs_two_shuffles(spark):
     assert plan(QUERIES["gold_manufacturing_daily"](spark, SF)).count("Exchange") == 2
 
