@@ -37,7 +37,7 @@ from millsight.operators.quality import (
 )
 from millsight.session import work_folder
 from millsight.sources.catalog import Lake
-from millsight.sources.landing import scan_files
+from millsight.sources.landing import list_files, scan_new_files
 
 Settle = Callable[[DataFrame, str], DataFrame]
 
@@ -179,15 +179,20 @@ class Ingestion:
         return {name: self.ingest(name) for name in LOAD_ORDER}
 
     def ingest(self, name: str) -> dict[str, int]:
-        return self.load(name, scan_files(self.spark, self.source, name))
+        """Load the files of one table that have no successful audit entry."""
+        listed = list_files(self.spark, self.source, name)
+        fresh = unseen_files(listed, self.spark.table(self.lake.audit), name)
+        return self.load(name, scan_new_files(self.spark, self.source, name, fresh))
 
-    def load(self, name: str, raw: DataFrame) -> dict[str, int]:
+    def load(self, name: str, raw: DataFrame | None) -> dict[str, int]:
+        """Check and store rows that carry their ``_source_file``; rows of known files are skipped."""
         contract = self.contracts[name]
         target = self.lake.name("bronze", name)
         self.lake.create(target, contract.ddl, ("_batch_id",))
         committed = self._drop_uncommitted(name, target)
-        raw = unseen_files(raw, self.spark.table(self.lake.audit), name)
-        if raw.isEmpty():
+        if raw is not None:
+            raw = unseen_files(raw, self.spark.table(self.lake.audit), name)
+        if raw is None or raw.isEmpty():
             return {"source": 0, "valid": 0, "quarantined": 0, "skipped": 1}
         if self.batch_id in committed:
             raise ValueError(f"batch id {self.batch_id} was used for {name} already")

@@ -380,7 +380,6 @@ def newest(source: str, key: str, columns: list[str]) -> str:
     )
 
 
-UPPER = ("_code",)
 for _table, _text in DIM_COLUMNS.items():
     _columns = _text.split()
     _shown = []

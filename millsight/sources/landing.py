@@ -12,13 +12,47 @@ from pyspark.sql import functions as F
 from millsight.contracts import LOAD_ORDER
 
 
-def scan_files(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """All Parquet files of one table with their union schema and a ``_source_file`` column."""
-    files = f"{folder.rstrip('/')}/{table}*.parquet"
-    raw = spark.read.option("mergeSchema", True).parquet(files)
+# Up to this many new files are read by name; beyond it the folder is scanned and filtered by file.
+NAMED_FILES = 10_000
+
+
+def _files(folder: str, table: str) -> str:
+    return f"{folder.rstrip('/')}/{table}*.parquet"
+
+
+def list_files(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """(_source_file, path) of one table's files; their content is not read."""
+    listed = spark.read.format("binaryFile").load(_files(folder, table))
+    return listed.select(F.col("_metadata.file_path").alias("_source_file"), "path")
+
+
+def scan_files(
+    spark: SparkSession, folder: str, table: str, paths: Sequence[str] = ()
+) -> DataFrame:
+    """Parquet files of one table with their union schema and a ``_source_file`` column.
+
+    Reads all files of the table, or just ``paths``.
+    """
+    files = list(paths) or [_files(folder, table)]
+    raw = spark.read.option("mergeSchema", True).parquet(*files)
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def scan_new_files(
+    spark: SparkSession, folder: str, table: str, fresh: DataFrame
+) -> DataFrame | None:
+    """Scan only the files of ``fresh``, a part of :func:`list_files`; None if there are none.
+
+    Too many names, or names that would be read as patterns, give a scan of the whole folder, whose
+    known files the caller filters out.
+    """
+    paths = [row.path for row in fresh.select("path").limit(NAMED_FILES + 1).collect()]
+    if not paths:
+        return None
+    named = len(paths) <= NAMED_FILES and not any(set(path) & set("*?[]{}\\") for path in paths)
+    return scan_files(spark, folder, table, paths if named else ())
+
+
 def spread_small(frame: DataFrame, *keys: str) -> DataFrame:
     """Give a scan with fewer splits than the session has cores work for all of them.
 

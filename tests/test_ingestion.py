@@ -22,8 +22,10 @@ from millsight.plans.checks import audit_duplicates, audit_totals
 from millsight.sources.catalog import Lake
 from millsight.sources.landing import (
     export_tables,
+    list_files,
     require_inventory,
     scan_files,
+    scan_new_files,
     source_inventory,
 )
 
@@ -259,7 +261,7 @@ def landing(raw):
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     for table, base in DIMS.items():
         write(raw, folder, table, base, {})
-    write(raw, folder, "fact_production", LOT, {}, {"production_lot_id": "L2", "pass_qty": "0"})
+    write(raw, folder, "fact_production", LOT, {}, {"production_lot_id": "L2", "pass_qty": "0"}, part="a b")
     write(raw, folder, "fact_quality_event", EVENT, {}, {"quality_event_id": "E2", "production_lot_id": "L2"})
     return folder
 
@@ -275,6 +277,10 @@ def test_runs_are_incremental_and_repeatable(spark, raw, landing):
 
     write(raw, landing, "fact_production", LOT, {"completed_qty": "9"}, {"production_lot_id": "L3"}, part=2,
           without=())
+    known = spark.table(lake.audit)
+    fresh = keys.unseen_files(list_files(spark, landing, "fact_production"), known, "fact_production")
+    new = scan_new_files(spark, landing, "fact_production", fresh)
+    assert len(new.inputFiles()) == 1 and new.count() == 2
     third = Ingestion(lake, landing, "b3").run()
     assert third["fact_production"] == {"source": 2, "valid": 1, "quarantined": 1, "skipped": 0}
     lots = lake.table("bronze", "fact_production")
