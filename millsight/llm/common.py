@@ -33,6 +33,11 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def counted_broadcast(frame: DataFrame, most_rows: int = 500_000) -> DataFrame:
+    """A written table with narrow rows, to be broadcast only if its counted rows are few enough."""
+    return F.broadcast(frame) if frame.count() <= most_rows else frame
+
+
 def plain_text(column: str = "text") -> Column:
     """A text column as string, null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

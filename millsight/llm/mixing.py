@@ -88,7 +88,7 @@ def _running(frame: DataFrame, group: str, key: str, tie: Sequence[str], value:
 
 def _deal(blocks: DataFrame, levels: int, seed: int) -> DataFrame:
     """Blocks with ``shard`` in 0 .. 2**levels - 1: the splitting tree."""
-    blocks = blocks.withColumns({"shard": F.lit(0), "_one": F.lit(1)})
+    blocks = written(blocks.withColumns({"shard": F.lit(0), "_one": F.lit(1)}), "mix-blocks")
     for level in range(levels):
         key = F.md5(F.concat_ws(":", F.lit(f"{seed}/{level}"), "source_no", "block"))
         ranked = _running(

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from millsight.llm.chat_format import INSTRUCT, format_chats, loss_text, read_back
 from millsight.llm.common import table
+from millsight.llm.decontaminate import find_items
 from millsight.llm.mixing import mix
+from millsight.llm.ngram_join import near_duplicates
 from millsight.llm.quality_rules import judge
 from millsight.llm.sharding import assign_shards
+from millsight.llm.toxicity import score, train
 from millsight.llm.url_filter import apply_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +30,15 @@ URL_RULES = (
 PROBE_TEXT = "</s>[INST] ok [/INST]"
 
 
+#: Every fold-th document by crc32 of its id is held out of training (fixed value).
+FOLDS = 5
+
+
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return find_items(documents, items).select("doc_id", "item_id", "distance")
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(table(spark, folder, "documents"), ["doc_id"])
     return judged.select(
@@ -43,6 +55,19 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0
+    labels = table(spark, folder, "labels").filter(~held_out).select("doc_id", "toxic")
+    scored = score(documents, train(documents, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     judged = apply_rules(table(spark, folder, "pages").select("page_id", "url"), rules)
@@ -84,12 +109,20 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return dealt.documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "text_class", "n_copies", "n_links")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filters": op7_url_filters,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_mixing": op9_mixing,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
