@@ -44,7 +44,7 @@ LANDMARKS = 256
 #: A word whose kernel with every toxic landmark is surely below this takes the model's base value.
 NEAR = 0.55
 MOST_ALIKE = 0.85
-HARD_ROUNDS = 3
+HARD_ROUNDS = 1
 MOST_POSITIVE = 1500
 MOST_NEGATIVE = 4500
 MOST_TEXTS = 6000
@@ -335,8 +335,9 @@ def train(
         return Model(Alphabet({}), None, np.zeros(1), np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
 
     plain = F.regexp_replace(F.lower("_text"), r"(?U)[^\w\s]|_", "")
-    words = F.explode(F.array_distinct(F.split(plain, r"(?U)\s+"))).alias("word")
-    seen = rows.select("_label", words).filter(F.length("word").between(3, WIDTH - 2))
+    words = rows.select("_label", F.split(plain, r"(?U)\s+").alias("words"))
+    seen = words.select("_label", F.explode(F.array_distinct("words")).alias("word"))
+    seen = seen.filter(F.length("word").between(3, WIDTH - 2))
     seen = seen.groupBy("word").agg(
         F.sum("_label").alias("in_toxic"), F.sum(1 - F.col("_label")).alias("in_clean")
     )
@@ -344,8 +345,25 @@ def train(
     odds = (F.col("in_toxic") / toxic) / (F.col("in_toxic") / toxic + F.col("in_clean") / clean)
     # So often in toxic texts that chance would bring less than one word there by the share of toxic.
     distinct = max(seen.count(), 2)
-    often = F.col("in_toxic") >= max(2, math.ceil(math.log(distinct) / math.log(1 + clean / toxic)))
-    positive = seen.filter(often & (odds >= 0.98)).orderBy(F.desc("in_toxic"), "word")
+    least = max(2, math.ceil(math.log(distinct) / math.log(1 + clean / toxic)))
+    likely = seen.filter((F.col("in_toxic") >= least) & (odds >= 0.98)).orderBy(
+        F.desc("in_toxic"), "word"
+    )
+    likely = likely.select("word").limit(4 * most_positive)
+    # Copies of one text repeat a word behind the same word; an insult comes behind many.
+    behind = words.filter("_label = 1").select(
+        F.explode(
+            F.transform(
+                "words",
+                lambda w, i: F.struct(
+                    w.alias("word"), F.get("words", i - 1).alias("previous")
+                ),
+            )
+        ).alias("pair")
+    )
+    behind = behind.select("pair.*").join(F.broadcast(likely), "word").distinct()
+    positive = behind.groupBy("word").agg(F.count("*").alias("places"))
+    positive = positive.filter(F.col("places") >= least).orderBy(F.desc("places"), "word")
     negative = seen.filter((F.col("in_clean") >= 1) & (odds <= 0.8))
     frequent = negative.orderBy(F.desc("in_clean"), "word").limit(most_negative // 2)
     others = negative.orderBy(F.xxhash64("word"), "word").limit(most_negative // 2)
