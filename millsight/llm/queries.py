@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from millsight.llm.chat_format import INSTRUCT, format_chats, loss_text, read_back
 from millsight.llm.common import table
 from millsight.llm.decontaminate import find_items
+from millsight.llm.html_extract import main_text
 from millsight.llm.mixing import mix
 from millsight.llm.ngram_join import near_duplicates
 from millsight.llm.quality_rules import judge
 from millsight.llm.sharding import assign_shards
+from millsight.llm.substring_dedup import repeated_passages
 from millsight.llm.toxicity import score, train
 from millsight.llm.url_filter import apply_rules
 
@@ -34,6 +36,12 @@ PROBE_TEXT = "</s>[INST] ok [/INST]"
 FOLDS = 5
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = main_text(pages, ("page_id", "url"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return find_items(documents, items).select("doc_id", "item_id", "distance")
@@ -55,6 +63,10 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0
@@ -115,9 +127,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_url_filters": op7_url_filters,
     "op8_chat_formatting": op8_chat_formatting,
