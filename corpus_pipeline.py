@@ -1,6 +1,17 @@
 """The corpus pipeline: quality rules, near duplicates, decontamination, mixing, sharding.
 
-Each stage takes what its predecessor kept, written as Parquet and read again.
+Each stage takes what its predecessor kept, written as Parquet and read again, and all but the last
+return the columns of ``documents``:
+
+* quality rules: documents the label model or the base rules reject go;
+* n-gram Jaccard join: one document of each group of near duplicates stays, the one with the least
+  doc_id, of equal ids any one row;
+* benchmark decontamination: documents that hold a benchmark item go;
+* mixing sources to target weights: a document stands once for each pass that takes words of it, so
+  documents the mix takes no word of go and those of scarce sources are repeated;
+* sharding: every document's size, checksum, shard and slot, with its columns.
+
+A null text is an empty document and fails the base rules; an empty table stays empty throughout.
 """
 
 from __future__ import annotations
@@ -10,27 +21,65 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millsight.llm.common import written
+from millsight.llm.common import table, written
+from millsight.llm.decontaminate import drop_contaminated
+from millsight.llm.mixing import mix
+from millsight.llm.ngram_join import near_duplicates
 from millsight.llm.quality_rules import judge
+from millsight.llm.sharding import assign_shards
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """The documents with a row number, fixed by writing them, for decisions to be joined back on."""
+    rows = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    return written(rows, label)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
     return judge(docs, COLUMNS).filter("kept").select(*COLUMNS)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = _numbered(docs, "pipeline-near")
+    found = near_duplicates(rows.select("doc_id", "text", "_row"), carry=("_row",))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    kept = found.groupBy("component").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = _numbered(docs, "pipeline-mix")
+    dealt = mix(rows.select("doc_id", "text", "source", "_row"), carry=("_row",))
+    passes = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    kept = dealt.documents.filter("taken > 0").select("_row", passes.alias("_passes"))
+    repeated = rows.join(kept, "_row").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_passes"))))
+    return repeated.select(*COLUMNS)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return assign_shards(docs, carry=COLUMNS[1:])
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("benchmark_decontamination", decontaminated),
+    ("mixing", mixed_sources),
+    ("sharding", sharded),
 ]
-#: Expectation-maximisation, near duplicates and hash draws are beyond SQL; the tests use brute force.
+#: Expectation-maximisation, near duplicates and edit distances are beyond SQL; the tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
