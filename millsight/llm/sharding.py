@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from millsight.llm.common import plain_text, written
 
-AXES = ("_k1", "_k2", "_row")
+#: Halves of the key, the text hash and halves of the row number, compared in this order. Quantiles are
+#: computed in double precision, so no part has more than 53 bits.
+AXES = ("_key_high", "_key_low", "_hash", "_row_high", "_row_low")
 LOWEST = -(2**63)
 
 
@@ -38,11 +40,12 @@ def _cut(ranges: DataFrame, overfull: DataFrame, pieces: int, samples: int, seed
     A value equal to a splitter gets a range of its own, so a hot key is alone after one cut and is
     cut along the next column after that.
     """
-    axis = F.when(F.col("lo_k1") < F.col("hi_k1"), 0).when(F.col("lo_k2") < F.col("hi_k2"), 1)
-    overfull = overfull.select("_range", "bytes", axis.otherwise(2).alias("axis"))
-    value = F.when(F.col("axis") == 0, F.col("_k1")).when(F.col("axis") == 1, F.col("_k2"))
-    value = value.otherwise(F.col("_row"))
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "_k1", "_k2", "_row"), F.lit(1 << 30)) / (1 << 30)
+    axis, value = F.lit(len(AXES) - 1), F.col(AXES[-1])
+    for number, name in reversed(list(enumerate(AXES[:-1]))):
+        axis = F.when(F.col(f"lo{name}") < F.col(f"hi{name}"), number).otherwise(axis)
+        value = F.when(F.col("axis") == number, F.col(name)).otherwise(value)
+    overfull = overfull.select("_range", "bytes", axis.alias("axis"))
+    drawn = F.pmod(F.xxhash64(F.lit(seed), *AXES), F.lit(1 << 30)) / (1 << 30)
     chance = F.col("size") * F.lit(float(samples)) / F.col("bytes")
     quantiles = [i / pieces for i in range(1, pieces)]
     splitters = (
@@ -80,13 +83,20 @@ def assign_shards(
         F.col(key).cast("long").alias("_key"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
-        F.xxhash64(body).alias("_k2"),
+        F.shiftrightunsigned(F.xxhash64(body), 11).alias("_hash"),
         *[F.col(c).alias(f"_carried_{i}") for i, c in enumerate(carry)],
     )
     numbered = facts.withColumn("_row", F.monotonically_increasing_id())
-    facts = written(numbered.withColumn("_k1", F.coalesce("_key", F.lit(LOWEST))), "shard-facts")
-
-    narrow = facts.select("size", *AXES)
+    place = F.coalesce("_key", F.lit(LOWEST))
+    halves = {
+        "_key_high": F.shiftright(place, 32),
+        "_key_low": place.bitwiseAND(F.lit(2**32 - 1)),
+        "_row_high": F.shiftright("_row", 32),
+        "_row_low": F.col("_row").bitwiseAND(F.lit(2**32 - 1)),
+    }
+    facts = written(numbered.withColumns(halves), "shard-facts")
+
+    narrow = facts.select("_row", "size", *AXES)
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     target = max(1, min(total // (4 * shards), most_range_bytes))
     ranges = narrow.withColumn("_range", F.lit("0"))
