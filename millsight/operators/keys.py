@@ -12,10 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is hot. At most (rows / HOT_ROWS) keys can be hot, which bounds
-# every broadcast below: 10^12 rows give at most 10^6 keys.
-HOT_ROWS = 1_000_000
-
 
 def key_profile(
     frame: DataFrame,
@@ -51,30 +47,18 @@ def flag_rows(
     keys: Sequence[str],
     flag: str,
     name: str,
-    hot_rows: int = HOT_ROWS,
     on: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add boolean ``name`` to every row: the value of the profile's predicate ``flag`` for its key.
 
     ``profile`` is a :func:`key_profile` of the rows of ``frame``; ``on`` computes the key members
-    where ``frame`` has no columns of their names. Hot keys, flagged or not, are answered by a
-    broadcast whose size is bounded by rows / ``hot_rows``. The remaining flagged keys are joined by
-    key; hot rows take part in that join only under a spread-out slot number, so no single task
-    receives a hot key.
+    where ``frame`` has no columns of their names. Only the flagged keys, one row each, are joined
+    back. No broadcast is forced: where the keys are too many for one, the adaptive skew join splits
+    the rows of a hot key.
     """
-    members = on or keys
-    hot = profile.filter(F.col("rows") > hot_rows)
-    hot = hot.selectExpr(*_renamed(keys, "_hot_"), f"({flag}) AS _hot_flag")
-    cold = profile.filter((F.col("rows") <= hot_rows) & F.expr(flag))
-    cold = cold.selectExpr(*_renamed(keys, "_cold_"), "0 AS _cold_slot", "TRUE AS _cold_flag")
-    # The slot is the input partition, which a retried task keeps.
-    slot = F.when(F.col("_hot_flag").isNotNull(), 1 + F.spark_partition_id()).otherwise(0)
-    marked = frame.join(F.broadcast(hot), F.expr(_same_key(members, "_hot_")), "left")
-    marked = marked.withColumn("_slot", slot)
-    match = F.expr(f"{_same_key(members, '_cold_')} AND _slot = _cold_slot")
-    return marked.join(cold, match, "left").selectExpr(
-        *frame.columns, f"coalesce(_hot_flag, _cold_flag, FALSE) AS {name}"
-    )
+    flagged = profile.filter(flag).selectExpr(*_renamed(keys, "_flagged_"), "TRUE AS _flag")
+    marked = frame.join(flagged, F.expr(_same_key(on or keys, "_flagged_")), "left")
+    return marked.selectExpr(*frame.columns, f"coalesce(_flag, FALSE) AS {name}")
 
 
 def flag_unresolved(
@@ -100,18 +84,15 @@ def keep_resolved(
     keys: Sequence[str],
     parent: DataFrame,
     parent_keys: Sequence[str] | None = None,
-    hot_rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose key exists in a parent that may be as large as ``frame``; never multiplies rows.
 
-    ``counted`` may name a cheaper frame that holds every key of ``frame`` at least as often, such
-    as the scan ``frame`` was derived from; it is then the one that is profiled.
+    A NULL member resolves to nothing. One shuffle of either side; the adaptive skew join splits
+    hot keys of ``frame``.
     """
-    whole = frame.dropna(subset=list(keys))
-    profile = key_profile(whole if counted is None else counted, keys, parent, parent_keys)
-    flagged = flag_rows(whole, profile, keys, "NOT known", "_orphan", hot_rows)
-    return flagged.filter("NOT _orphan").drop("_orphan")
+    known = parent.selectExpr(*_renamed(parent_keys or keys, "_parent_"))
+    match = " AND ".join(f"{key} = _parent_{i}" for i, key in enumerate(keys))
+    return frame.dropna(subset=list(keys)).join(known, F.expr(match), "left_semi")
 
 
 def duplicate_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -118,7 +118,7 @@ def pareto(
     )
     match = F.lit(True)
     for c in block:
-        match = match & (F.col(c) == F.col(f"_b_{c}"))
+        match = match & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
     # Positions first: their sort order is the one the join needs.
     order = [F.col(c).asc_nulls_first() for c in rest]
     position = F.row_number().over(Window.partitionBy(*block).orderBy(*order))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from millsight.contracts import LINEAGE, LOAD_ORDER, Contract, Horizon, contracts
 from millsight.operators.keys import (
-    HOT_ROWS,
     flag_rows,
     flag_unresolved,
     key_profile,
@@ -35,7 +34,7 @@ from millsight.operators.quality import (
     rule_issues,
     safe_casts,
 )
-from millsight.session import work_folder
+from millsight.session import remove_folder, work_folder
 from millsight.sources.catalog import Lake
 from millsight.sources.landing import list_files, scan_new_files
 
@@ -59,7 +58,6 @@ def check_batch(
     stored: DataFrame | None = None,
     parents: Mapping[str, DataFrame] | None = None,
     settle: Settle = _as_is,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Typed rows with all their violations.
 
@@ -79,7 +77,7 @@ def check_batch(
     profile = key_profile(typed, contract.key, stored)
     profile = settle(profile.filter(repeated), "duplicate_keys")
     on = [casts[column] for column in contract.key]
-    checked = flag_rows(hold_raw(raw), profile, contract.key, repeated, "_duplicate", hot_rows, on)
+    checked = flag_rows(hold_raw(raw), profile, contract.key, repeated, "_duplicate", on)
 
     parents = parents or {}
     references = [r for r in contract.references if r.parent in parents]
@@ -90,11 +88,9 @@ def check_batch(
         on = [casts[column] for column in reference.columns]
         if reference.large_parent:
             profile = key_profile(typed, reference.columns, parent, reference.parent_columns)
-            profile = profile.filter(f"NOT known OR rows > {hot_rows}")
+            profile = profile.filter("NOT known")
             profile = settle(profile, f"reference_{number}")
-            checked = flag_rows(
-                checked, profile, reference.columns, "NOT known", flag, hot_rows, on
-            )
+            checked = flag_rows(checked, profile, reference.columns, "NOT known", flag, on)
         else:
             checked = flag_unresolved(checked, on, parent, reference.parent_columns, flag)
         unresolved.append(reference_issue(reference, flag))
@@ -161,7 +157,6 @@ class Ingestion:
     source: str
     batch_id: str = ""
     horizon: Horizon = field(default_factory=Horizon)
-    hot_rows: int = HOT_ROWS
 
     def __post_init__(self) -> None:
         self.batch_id = self.batch_id or new_batch_id()
@@ -198,16 +193,17 @@ class Ingestion:
             raise ValueError(f"batch id {self.batch_id} was used for {name} already")
 
         parents = {r.parent: self.lake.table("bronze", r.parent) for r in contract.references}
-        stage = f"{work_folder(self.spark)}/ingest/{self.batch_id}/{name}"
+        # A folder of this attempt alone: another attempt or another lake may use the same batch id.
+        stage = f"{work_folder(self.spark)}/ingest/{self.batch_id}/{name}-{uuid4().hex}"
 
         def settle(frame: DataFrame, part: str) -> DataFrame:
-            frame.write.mode("overwrite").parquet(f"{stage}/{part}")
+            frame.write.parquet(f"{stage}/{part}")
             return self.spark.read.schema(frame.schema).parquet(f"{stage}/{part}")
 
         checked = check_batch(
-            raw, contract, self.spark.table(target), parents, settle, self.hot_rows
+            raw, contract, self.spark.table(target), parents, settle
         ).withColumn("_ingested_at", F.current_timestamp())
-        checked.write.mode("overwrite").partitionBy("_accepted").parquet(f"{stage}/checked")
+        checked.write.parquet(f"{stage}/checked")
         staged = self.spark.read.schema(checked.schema).parquet(f"{stage}/checked")
 
         batch = F.lit(self.batch_id).alias("_batch_id")
@@ -223,6 +219,7 @@ class Ingestion:
         self.lake.append(audit, self.lake.audit)
 
         counts = staged.agg(F.count(F.lit(1)), F.count_if("_accepted")).first()
+        remove_folder(self.spark, stage)
         source, valid = counts[0], counts[1]
         return {"source": source, "valid": valid, "quarantined": source - valid, "skipped": 0}
 

@@ -23,7 +23,7 @@ from millsight.contracts import (
 )
 from millsight.functions.calendar import reporting_week
 from millsight.functions.text import normalize
-from millsight.operators.keys import HOT_ROWS, keep_resolved, latest_record
+from millsight.operators.keys import keep_resolved, latest_record
 from millsight.sources.catalog import Lake
 
 
@@ -127,7 +127,6 @@ def conform_events(
     production: DataFrame,
     dims: Mapping[str, DataFrame],
     normalize_first: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Newest record per event, tied to a conformed production lot at its full grain.
 
@@ -148,7 +147,7 @@ def conform_events(
     frame = frame.join(suppliers.distinct(), F.col("supplier_id") == F.col("_supplier"), "left")
     frame = frame.filter(F.col("supplier_id").isNull() | F.col("_known")).drop("_supplier", "_known")
     lot = ["event_date", "factory_id", "line_id", "product_id", "production_lot_id"]
-    frame = keep_resolved(frame, lot, production, PRODUCTION_KEY, hot_rows, counted=source)
+    frame = keep_resolved(frame, lot, production, PRODUCTION_KEY)
     if not normalize_first:
         frame = EVENT_ENUMS.apply(frame)
     return frame.select(

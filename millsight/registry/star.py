@@ -13,7 +13,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millsight.sources.landing import spread_small
 
 FACTORY = "concat('FAC-', supp % 5)"
 LINE = "concat('LINE-', supp % 25)"
@@ -243,10 +242,6 @@ class DirtyStar(Star):
     accepted rows of several batches with re-sent records, padded text and unresolved relations.
     """
 
-    def line_items(self) -> DataFrame:
-        """Checks and conforming do much work per row before their first shuffle."""
-        return spread_small(self.read("lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
-
     @cached_property
     def raw_production(self) -> DataFrame:
         base = self.lots.selectExpr(

@@ -55,3 +55,9 @@ def work_folder(spark: SparkSession) -> str:
     folder = Path(tempfile.mkdtemp(prefix="millsight-work-")).as_uri()
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -12,10 +13,6 @@ from pyspark.sql import functions as F
 from millsight.contracts import LOAD_ORDER
 
 
-# Up to this many new files are read by name; beyond it the folder is scanned and filtered by file.
-NAMED_FILES = 10_000
-
-
 def _files(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}*.parquet"
 
@@ -27,14 +24,15 @@ def list_files(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def scan_files(
-    spark: SparkSession, folder: str, table: str, paths: Sequence[str] = ()
+    spark: SparkSession, folder: str, table: str, paths: Sequence[str] | None = None
 ) -> DataFrame:
     """Parquet files of one table with their union schema and a ``_source_file`` column.
 
-    Reads all files of the table, or just ``paths``.
+    Reads all files of the table, or just ``paths``; the schema is always that of all files, so a
+    column that a new file lacks is a column of NULLs wherever another file has it.
     """
-    files = list(paths) or [_files(folder, table)]
-    raw = spark.read.option("mergeSchema", True).parquet(*files)
+    every = spark.read.option("mergeSchema", True).parquet(_files(folder, table))
+    raw = every if paths is None else spark.read.schema(every.schema).parquet(*paths)
     return raw.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
@@ -43,25 +41,12 @@ def scan_new_files(
 ) -> DataFrame | None:
     """Scan only the files of ``fresh``, a part of :func:`list_files`; None if there are none.
 
-    Too many names, or names that would be read as patterns, give a scan of the whole folder, whose
-    known files the caller filters out.
-    """
-    paths = [row.path for row in fresh.select("path").limit(NAMED_FILES + 1).collect()]
-    if not paths:
-        return None
-    named = len(paths) <= NAMED_FILES and not any(set(path) & set("*?[]{}\\") for path in paths)
-    return scan_files(spark, folder, table, paths if named else ())
-
-
-def spread_small(frame: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer splits than the session has cores work for all of them.
-
-    A Parquet file of one row group is one split and would keep all row-wise work on one core.
-    Inputs with enough splits pass through unchanged, so the extra shuffle is bounded by cores x
-    split size and never happens on a large input.
+    The driver takes the names of the new files, as it does for the file index of any scan.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, *keys)
+    names = [row.path for row in fresh.select("path").collect()]
+    # Escaped, so that a character of a name is not read as a pattern.
+    paths = [re.sub(r"([*?\[\]{}\\])", r"\\\1", name) for name in names]
+    return scan_files(spark, folder, table, paths) if paths else None
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

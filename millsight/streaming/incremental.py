@@ -1,7 +1,8 @@
 """Incremental ingestion with the streaming file source.
 
 The source's checkpoint remembers which files were read, so a trigger lists and loads only new
-ones. Each micro-batch runs through the same checks, staging and audit as a batch run.
+ones, all in one micro-batch: what is a copied key inside a batch must not depend on where a limit
+would have cut it. The micro-batch runs through the same checks, staging and audit as a batch run.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from millsight.sources.landing import scan_files
 
 
 def ingest_available(
-    ingestion: Ingestion, checkpoint: str | None = None, files_per_batch: int = 1000
+    ingestion: Ingestion, checkpoint: str | None = None
 ) -> dict[str, list[dict[str, int]]]:
     """Load every file that arrived since the last call, parents first; summaries by table."""
     spark = ingestion.spark
@@ -29,7 +30,6 @@ def ingest_available(
         schema = scan_files(spark, ingestion.source, name).drop("_source_file").schema
         files = (
             spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_batch)
             .parquet(f"{ingestion.source.rstrip('/')}/{name}*.parquet")
             .withColumn("_source_file", F.col("_metadata.file_path"))
         )

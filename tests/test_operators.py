@@ -185,3 +185,14 @@ def test_drill_and_detail(frame):
     assert rows(parents, "product_id", "component_id", "parent_defect_quantity") == [
         ("P", "A", 8), ("P", "B", 8), ("Q", "A", 1),
     ]
+
+
+def test_pareto_keeps_rows_with_null_members(frame):
+    df = frame(
+        "day int, q long, defect string, line string, product string",
+        (1, 5, "D", None, "P"), (1, 5, "D", "L", None), (1, 3, None, None, None), (1, 9, "E", "L", "P"),
+    )
+    found = ranking.pareto(df, ("day",), "q", ("defect", "line"), ("product",)).collect()
+    assert sorted((r.q, r.cumulative_failures, r.pareto_rank, r.total_failures) for r in found) == [
+        (3, 22, 3, 22), (5, 14, 2, 22), (5, 19, 2, 22), (9, 9, 1, 22)
+    ]
