@@ -124,6 +124,13 @@ def mix_versus_within(
     )
 
 
+def mix_verdict(change: DataFrame, least_drop: float = 0.004, most_within: float = 0.035) -> DataFrame:
+    """``mix_versus_within`` with ``is_mix_effect``: the aggregate fell, the products stayed."""
+    fell = F.col("aggregate_fpy_change") < -least_drop
+    stayed = F.col("mean_absolute_product_fpy_change") < most_within
+    return change.withColumn("is_mix_effect", fell & stayed)
+
+
 def mix_detail(product_gold: DataFrame, window: Period, scope: Mapping[str, object]) -> DataFrame:
     """Evidence E, detail: daily volume, FPY and share of each product."""
     return only(product_gold.filter(window.holds("production_date")), scope).select(

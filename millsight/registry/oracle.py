@@ -833,8 +833,9 @@ _BODIES: dict[str, str] = {
         FROM (SELECT factory_id, line_id, defect_id, SUM(event_quantity) AS total FROM event_rows
           WHERE is_first_pass_failure AND event_date {YEAR} GROUP BY ALL)) WHERE r <= 3""",
     "localized_rank": "SELECT CAST(r AS BIGINT) AS contribution_rank FROM (" + _rank(
-        "event_rows", "factory_id, product_id, component_id, defect_id", "event_quantity",
-        "factory_id = 'FAC-3' AND product_id = 'PROD-1' AND component_id = 'COMP-2' AND defect_id = 'DEF-3'",
+        "event_rows", "factory_id, product_id, component_id, supplier_id, defect_id", "event_quantity",
+        "factory_id = 'FAC-3' AND product_id = 'PROD-1' AND component_id = 'COMP-2' AND supplier_id = 'SUP-3'"
+        " AND defect_id = 'DEF-3'",
         "is_first_pass_failure").replace("999)", "999) AS r", 1) + ")",
     "acceptance_report": _acceptance(),
     # --- evidence
@@ -854,6 +855,12 @@ _BODIES: dict[str, str] = {
         (SELECT round(AVG(abs(change)), 12) FROM ({PRODUCT_CHANGE})) AS mean_absolute_product_fpy_change
         FROM (SELECT {_period_fpy(EARLIER)} AS pre, {_period_fpy(YEAR)} AS post FROM gold_factory
         WHERE factory_id = 'FAC-2')""",
+    "mix_verdict": f"""SELECT pre AS aggregate_pre_fpy, post AS aggregate_post_fpy,
+        post - pre AS aggregate_fpy_change, m AS mean_absolute_product_fpy_change,
+        post - pre < -0.004 AND m < 0.035 AS is_mix_effect
+        FROM (SELECT {_period_fpy(EARLIER)} AS pre, {_period_fpy(YEAR)} AS post,
+        (SELECT round(AVG(abs(change)), 12) FROM ({PRODUCT_CHANGE})) AS m FROM gold_factory
+        WHERE factory_id = 'FAC-2')""",
     "mix_detail": f"""SELECT production_date, factory_id, product_id, production_quantity, fpy,
         product_mix_share FROM gold_product WHERE factory_id = 'FAC-2' AND production_date {YEAR}""",
     "learning_curve": _curve("line_id = 'LINE-9'"),
@@ -939,6 +946,11 @@ _BODIES: dict[str, str] = {
         CAST(date_trunc('month', production_date) AS DATE) AS month, line_id, {sums(GOLD_SUMS[1:3])}
         FROM daily GROUP BY ALL))""",
     "contribution_to_change": _decomposition(),
+    "scan_lineage": " UNION ALL ".join(
+        f"SELECT '{table}.parquet' AS file_name, COUNT(*) AS n_rows, (SELECT COUNT(*) FROM "
+        f"information_schema.columns WHERE table_name = '{table}') AS n_columns FROM {table}"
+        for table in ("region", "nation", "supplier", "part", "orders", "lineitem")
+    ),
 }
 CTES["gold_factory_day"] = f"""SELECT factory_id, production_date, {sums(GOLD_SUMS[1:3])} FROM daily
     GROUP BY factory_id, production_date"""

@@ -19,7 +19,7 @@ from millsight.operators import keys as key_ops
 from millsight.operators import quality, ranking
 from millsight.plans import bi, bronze, checks, evidence, gold, silver
 from millsight.registry.star import DirtyStar, Star
-from millsight.sources.landing import source_inventory
+from millsight.sources.landing import scan_lineage, source_inventory
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,7 @@ EARLIER = Period.of("1996-01-01", "1996-12-31")
 QUARTER = Period.of("1998-01-01", "1998-03-31")
 BASELINE = Period.of("1997-10-03", "1997-12-31")
 FACTORY = {"factory_id": "FAC-2"}
+SCANNED = ("region", "nation", "supplier", "part", "orders", "lineitem")
 
 
 def query(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -50,6 +51,9 @@ def source_inventory_(star: Star) -> DataFrame:
     return source_inventory(tables)
 
 
+QUERIES["scan_lineage"] = lambda spark, folder: scan_lineage(spark, folder, SCANNED)
+
+
 @query
 def ingest_new_files(dirty: DirtyStar) -> DataFrame:
     unseen = key_ops.unseen_files(dirty.raw_production, dirty.audit, "fact_production")
@@ -453,7 +457,8 @@ def leading_line_defects(star: Star) -> DataFrame:
 @query
 def localized_rank(star: Star) -> DataFrame:
     """Rank of one factory, product, component, supplier and defect combination."""
-    entity = {"factory_id": "FAC-3", "product_id": "PROD-1", "component_id": "COMP-2", "defect_id": "DEF-3"}
+    entity = {"factory_id": "FAC-3", "product_id": "PROD-1", "component_id": "COMP-2",
+              "supplier_id": "SUP-3", "defect_id": "DEF-3"}
     first_pass = star.events.filter("is_first_pass_failure")
     return ranking.rank_of(first_pass, tuple(entity), "event_quantity", entity)
 
@@ -524,6 +529,11 @@ def mix_vs_within(star: Star) -> DataFrame:
     return result.withColumn("mean_absolute_product_fpy_change", rounded)
 
 
+@query
+def mix_verdict(star: Star) -> DataFrame:
+    return evidence.mix_verdict(mix_vs_within(star))
+
+
 @query
 def mix_detail(star: Star) -> DataFrame:
     product = gold.product_quality(star.production, star.dims["dim_product"])

@@ -49,6 +49,17 @@ def scan_new_files(
     return scan_files(spark, folder, table, paths) if paths else None
 
 
+def scan_lineage(spark: SparkSession, folder: str, tables: Sequence[str]) -> DataFrame:
+    """(file_name, n_rows, n_columns) of every file the scans of the tables read."""
+    name = F.element_at(F.split("_source_file", "/"), -1).alias("file_name")
+    found = []
+    for table in tables:
+        rows = scan_files(spark, folder, table)
+        counted = rows.groupBy(name).agg(F.count(F.lit(1)).alias("n_rows"))
+        found.append(counted.withColumn("n_columns", F.lit(len(rows.columns) - 1).cast("long")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, actual_rows) of each frame, as one relation."""
     counts = [
