@@ -21,32 +21,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millsight.llm.common import table, written
+from millsight.llm.common import counted_broadcast, plain_text, table, written
 from millsight.llm.decontaminate import drop_contaminated
 from millsight.llm.mixing import mix
-from millsight.llm.ngram_join import near_duplicates
+from millsight.llm.ngram_join import near_duplicates, text_key
 from millsight.llm.quality_rules import judge
 from millsight.llm.sharding import assign_shards
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _numbered(docs: DataFrame, label: str) -> DataFrame:
-    """The documents with a row number, fixed by writing them, for decisions to be joined back on."""
-    rows = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
-    return written(rows, label)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return judge(docs, COLUMNS).filter("kept").select(*COLUMNS)
+    return judge(docs, COLUMNS, store=False).filter("kept").select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs, "pipeline-near")
-    found = near_duplicates(rows.select("doc_id", "text", "_row"), carry=("_row",))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
-    kept = found.groupBy("component").agg(first.alias("first")).select(F.col("first._row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+    """Decisions are per doc_id and text; rows equal in both are told apart only if there are any."""
+    found = near_duplicates(docs.select("doc_id", "text"))
+    pairs = found.groupBy("component", "text_key", "doc_id").agg(F.count("*").alias("rows"))
+    pairs = written(pairs, "pipeline-pairs")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    firsts = pairs.groupBy("component").agg(first)
+    stays = (F.col("text_key") == F.col("first.text_key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    marked = pairs.join(firsts, "component").select(
+        F.col("text_key").alias("_key"), F.col("doc_id").alias("_id"), "rows", stays.alias("_stays")
+    )
+    marked = written(marked, "pipeline-marked")
+    rows = docs.select(*COLUMNS).withColumn("_text_key", text_key(plain_text()))
+    same = (F.col("_text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    settled = written(marked.filter("NOT _stays OR rows > 1"), "pipeline-settled")
+    kept = rows.join(counted_broadcast(settled), same, "left_anti")
+    copied = written(marked.filter("_stays AND rows > 1"), "pipeline-copied")
+    repeated = rows.join(counted_broadcast(copied), same, "left_semi")
+    repeated = repeated.dropDuplicates(["_text_key", "doc_id"])
+    return kept.unionByName(repeated).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +62,15 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs, "pipeline-mix")
+    numbered = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    rows = written(numbered, "pipeline-mix")  # fixes the row numbers, to join the takes back on
     dealt = mix(rows.select("doc_id", "text", "source", "_row"), carry=("_row",))
     passes = F.ceil(F.col("taken") / F.col("size")).cast("int")
     kept = dealt.documents.filter("taken > 0").select("_row", passes.alias("_passes"))
-    repeated = rows.join(kept, "_row").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_passes"))))
+    kept = counted_broadcast(written(kept, "pipeline-takes"))
+    repeated = rows.join(kept, "_row").withColumn(
+        "_pass", F.explode(F.sequence(F.lit(1), F.col("_passes")))
+    )
     return repeated.select(*COLUMNS)
 
 

@@ -298,7 +298,7 @@ def near_duplicates(
 
     ``text_class`` is the least doc_id with an equal text, ``n_copies`` how many documents have it,
     ``n_links`` how many different texts are at least ``similarity`` alike, ``class_id`` the least
-    doc_id of all that are connected by such links.
+    doc_id of all that are connected by such links; ``component`` and ``text_key`` name group and text.
     """
     body = plain_text(text)
     own = [F.col(c).alias(f"_carried_{i}") for i, c in enumerate(carry)]
@@ -351,10 +351,11 @@ def near_duplicates(
     grouped = grouped.withColumn("component", F.coalesce("component", "key"))
     names = grouped.groupBy("component").agg(F.min("rep").alias("class_id"))
     named = grouped.join(names, "component").select(
-        "key", "component", "class_id", F.col("rep").alias("text_class"), "n_copies",
+        F.col("key"), "component", "class_id", F.col("rep").alias("text_class"), "n_copies",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
     return facts.join(named, "key").select(
         F.col("doc").alias(doc_id), "class_id", "text_class", "n_copies", "n_links", "component",
+        F.col("key").alias("text_key"),
         *[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(carry)],
     )

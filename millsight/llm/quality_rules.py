@@ -175,13 +175,22 @@ def posterior(votes: np.ndarray, prior: float, chance: np.ndarray) -> np.ndarray
     return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
-def judge(documents: DataFrame, carry: Sequence[str], text: str = "text") -> DataFrame:
-    """Carried columns, ``FEATURES``, base_failed, the votes, quality (posterior) and kept."""
+def judge(
+    documents: DataFrame, carry: Sequence[str], text: str = "text", store: bool = True
+) -> DataFrame:
+    """Carried columns, ``FEATURES``, base_failed, the votes, quality (posterior) and kept.
+
+    The features are needed twice: ``store`` writes them (with the carried columns), without it they are
+    computed again, which saves the space when whole texts are carried.
+    """
     asked = rules()
     votes = {f"vote_{n}": F.coalesce(v, F.lit(0)).cast("tinyint") for n, v in asked.items()}
-    measured = written(measure(documents, carry, text).withColumns(votes), "quality-features")
+    measured = measure(documents, carry, text).withColumns(votes)
+    if store:
+        measured = written(measured, "quality-features")
+    counted = measured if store else measure(documents, [], text).withColumns(votes)
     # At most 3^rules rows come to the driver, whatever the input's size.
-    patterns = measured.groupBy(*votes).count().collect()
+    patterns = counted.groupBy(*votes).count().collect()
     found = np.array([row[:-1] for row in patterns], np.int8).reshape(len(patterns), len(votes))
     counts = np.array([row[-1] for row in patterns], float)
     prior, chance = fit(found, counts)

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millsight.llm.common import plain_text, written
+from millsight.llm.common import counted_broadcast, plain_text, written
 
 #: Halves of the key, the text hash and halves of the row number, compared in this order. Quantiles are
 #: computed in double precision, so no part has more than 53 bits.
@@ -128,7 +128,7 @@ def assign_shards(
     placed = written(placed, "shard-places")
     first = placed.groupBy("shard").agg(F.min("_place").alias("_first"))  # one row per shard
     return (
-        facts.join(placed, "_row")
+        facts.join(counted_broadcast(placed), "_row")
         .join(F.broadcast(first), "shard")
         .select(
             F.col("_key").alias(key),
