@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millsight.llm.common import plain_text, written
+from millsight.llm.common import counted_broadcast, plain_text, written
 
 DECAY = 0.35
 WIDTH = 16
@@ -40,14 +40,16 @@ STRIDE = 7
 FIRST, LAST = "\t", "\n"
 CODES = 48
 POWER = 3
-LANDMARKS = 256
-#: A word whose kernel with every toxic landmark is surely below this takes the model's base value.
-NEAR = 0.55
+LANDMARKS = 160
+#: A word with fewer than this share of some toxic landmark's gapless triples (two at least) is far from
+#: all of them and takes the model's base value.
+NEAR = 0.4
+MOST_TOXIC_LANDMARKS = 128
 MOST_ALIKE = 0.85
 HARD_ROUNDS = 1
 MOST_POSITIVE = 1500
 MOST_NEGATIVE = 4500
-MOST_TEXTS = 6000
+MOST_TEXTS = 2000
 MOST_CACHED = 400_000
 LOWEST_SCORE = -3.0
 
@@ -90,11 +92,13 @@ class Alphabet:
         return cls({c: i for i, c in enumerate(ranked, 1)})
 
     def encode(self, words: Sequence[str], width: int) -> np.ndarray:
-        found = np.zeros((len(words), width), np.int32)
-        get = self.codes.get
-        for row, word in enumerate(words):
-            found[row, : len(word)] = [get(c, 0) for c in word]
-        return found
+        if not len(words):
+            return np.zeros((0, width), np.int32)
+        points = np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width)
+        known = np.array([ord(c) for c in self.codes], np.uint32)
+        table = np.zeros(int(known.max(initial=0)) + 2, np.int32)
+        table[known] = list(self.codes.values())
+        return table[np.minimum(points, len(table) - 1)]
 
 
 def _triples(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -164,13 +168,49 @@ class Landmarks:
         return total / np.maximum(_norms(codes), 1e-12)[:, None]
 
 
+class Nearness:
+    """Which words may be near a toxic landmark: the gapless triples as bits of the landmarks with them."""
+
+    def __init__(self, codes: np.ndarray):
+        self.bits = np.zeros((CODES**3, 2), np.uint64)
+        needs = []
+        for i, word in enumerate(codes[:MOST_TOXIC_LANDMARKS]):
+            length = int(np.flatnonzero(word).max(initial=-1)) + 1
+            numbers = set(self._triples(word[None, :length])[:, 0].tolist()) if length > 2 else set()
+            for number in numbers:
+                self.bits[number, i // 64] |= np.uint64(1 << (i % 64))
+            needs.append(max(2, math.ceil(NEAR * len(numbers))))
+        self.bits[0] = 0
+        self.masks = np.zeros((max(needs, default=0) + 1, 2), np.uint64)
+        for i, need in enumerate(needs):
+            self.masks[need, i // 64] |= np.uint64(1 << (i % 64))
+
+    @staticmethod
+    def _triples(codes: np.ndarray) -> np.ndarray:
+        """Numbers of the gapless triples, one row per place; 0 where a character is unknown."""
+        one, two, three = codes[:, :-2], codes[:, 1:-1], codes[:, 2:]
+        known = (one > 0) & (two > 0) & (three > 0)
+        return np.where(known, one * CODES * CODES + two * CODES + three, 0).T
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Rows that have as many triples of some landmark as it needs."""
+        counted = np.zeros((len(self.masks), len(codes), 2), np.uint64)  # [n]: seen at least n times
+        for numbers in self._triples(codes):
+            now = self.bits[numbers]
+            for n in range(len(counted) - 1, 1, -1):
+                counted[n] |= counted[n - 1] & now
+            if len(counted) > 1:
+                counted[1] |= now
+        return np.flatnonzero((counted & self.masks[:, None, :]).any((0, 2)))
+
+
 @dataclass
 class Model:
     """A word's value is bias + the powered kernel with each landmark times its weight."""
 
     alphabet: Alphabet
     landmarks: Landmarks | None
-    cover: np.ndarray
+    nearness: Nearness | None
     weights: np.ndarray
     bias: float
     slope: float
@@ -179,32 +219,19 @@ class Model:
     cache: dict[str, float] = field(default_factory=dict, repr=False)
 
     def word_values(self, words: Sequence[str]) -> np.ndarray:
-        """Values of windows of at most ``WIDTH`` characters.
-
-        ``cover`` has each subsequence's greatest weight in a toxic landmark, so a lookup there bounds
-        the kernel with all of them; only words near one need the kernel itself.
-        """
+        """Values of windows of at most ``WIDTH`` characters."""
         values = np.full(len(words), self.bias)
-        lengths = np.array([len(w) for w in words])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        close: list[int] = []
         for length in range(3, WIDTH + 1):
-            for part in np.array_split(np.flatnonzero(lengths == length), 1 + len(words) // 4_000):
-                if not len(part):
-                    continue
-                codes = self.alphabet.encode([words[i] for i in part], length)
-                bound = np.zeros(len(part))
-                for numbers, known, weight in _triples(codes):
-                    bound += np.where(known, self.cover[numbers], 0.0) * weight
-                # A word's norm is at least that of its subsequences without a gap.
-                known = codes > 0
-                runs = (known[:, :-2] & known[:, 1:-1] & known[:, 2:]).sum(1)
-                maybe = np.flatnonzero(bound >= NEAR * DECAY**3 * np.sqrt(np.maximum(runs, 1)))
-                if len(maybe):
-                    norms = np.maximum(_norms(codes[maybe]), 1e-12)
-                    near = maybe[bound[maybe] / norms >= NEAR]
-                    for rows in np.array_split(near, 1 + len(near) // 1_000):
-                        if len(rows):
-                            close = self.landmarks.kernel(codes[rows]) ** POWER
-                            values[part[rows]] += close @ self.weights
+            for part in np.array_split(np.flatnonzero(lengths == length), 1 + len(words) // 8_000):
+                if len(part):
+                    codes = self.alphabet.encode([words[i] for i in part], length)
+                    close += part[self.nearness.find(codes)].tolist()
+        for rows in np.array_split(np.array(close, np.int64), 1 + len(close) // 1_000):
+            if len(rows):
+                codes = self.alphabet.encode([words[i] for i in rows], WIDTH)
+                values[rows] += (self.landmarks.kernel(codes) ** POWER) @ self.weights
         return values
 
     def highest(self, texts: Sequence[str]) -> np.ndarray:
@@ -214,7 +241,8 @@ class Model:
             cache.clear()
         sets = [strings_of(t) for t in texts]
         fresh = [w for w in set().union(*sets) if w not in cache] if sets else []
-        parts = [(w, p) for w in fresh for p in windows_of(w)]
+        parts = [(w, f"{FIRST}{w}{LAST}") for w in fresh if len(w) <= WIDTH - 2]
+        parts += [(w, p) for w in fresh if len(w) > WIDTH - 2 for p in windows_of(w)]
         values = self.word_values([p for _, p in parts])
         for word in fresh:
             cache[word] = -np.inf
@@ -307,8 +335,8 @@ def fit(
         mine = signs == side
         weights[mine] /= weights[mine].sum()
     found = _svm(kernel @ root, signs, weights * len(words) / 2, cost)
-    cover = marks.rows[:, signs[chosen] > 0].max(1)[marks.index]
-    model = Model(alphabet, marks, cover, root @ found[:-1], float(found[-1]), 1.0, 0.0)
+    near = Nearness(codes[[i for i in chosen if signs[i] > 0]])
+    model = Model(alphabet, marks, near, root @ found[:-1], float(found[-1]), 1.0, 0.0)
     model.slope, model.shift = _logistic(model.highest(texts), labels)
     return model
 
@@ -326,13 +354,14 @@ def train(
     """Fits on all labelled documents; at most ``most_*`` words and texts come to the driver."""
     known = labels.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
     known = known.filter("_label IS NOT NULL")
+    known = counted_broadcast(written(known, "toxic-labels"))
     rows = documents.join(known, F.col(doc_id) == F.col("_id"))
     rows = written(rows.select(plain_text(text).alias("_text"), "_label"), "toxic-training")
     counts = dict(rows.groupBy("_label").count().collect())
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         share = toxic / max(toxic + clean, 1)
-        return Model(Alphabet({}), None, np.zeros(1), np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
+        return Model(Alphabet({}), None, None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
 
     plain = F.regexp_replace(F.lower("_text"), r"(?U)[^\w\s]|_", "")
     words = rows.select("_label", F.split(plain, r"(?U)\s+").alias("words"))
@@ -371,11 +400,14 @@ def train(
     minus = {r[0]: float(r[2]) ** 0.25 for r in [*frequent.collect(), *others.collect()]}
     if not plus or not minus:
         share = toxic / (toxic + clean)
-        return Model(Alphabet({}), None, np.zeros(1), np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
+        return Model(Alphabet({}), None, None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
     sample = []
     for value in (0, 1):
-        kind = rows.filter(F.col("_label") == value).orderBy(F.xxhash64("_text"), "_text")
-        sample += [(r[0], value) for r in kind.select("_text").limit(most_texts // 2).collect()]
+        kind = rows.filter(F.col("_label") == value).withColumn("_draw", F.xxhash64("_text"))
+        kind = kind.select("_draw", "_text")
+        last = kind.select("_draw").orderBy("_draw").limit(most_texts // 2).agg(F.max("_draw"))
+        drawn = kind.filter(F.col("_draw") <= last.first()[0]).limit(most_texts // 2)
+        sample += [(r[1], value) for r in sorted(drawn.collect())]
     texts, found = [t for t, _ in sample], np.array([v for _, v in sample], float)
     model = fit(plus, list(minus.items()), texts, found)
     for _ in range(HARD_ROUNDS):  # the clean words the model likes best become negatives
@@ -393,7 +425,7 @@ def score(
     asked = documents.select(*carry, plain_text(text).alias("_text"))
     kept = [f.simpleString().replace(":", " ", 1) for f in asked.schema.fields[:-1]]
     model.cache.clear()
-    # One table of CODES ** 3 numbers (2 MB) and the landmarks, whatever the input's size.
+    # Tables of CODES ** 3 numbers and the landmarks' features (some 30 MB), whatever the input's size.
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -401,8 +433,8 @@ def score(
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             found: list[float] = []
-            for at in range(0, len(texts), 256):
-                found += fitted.scores(texts[at : at + 256]).tolist()
+            for at in range(0, len(texts), 1024):
+                found += fitted.scores(texts[at : at + 1024]).tolist()
             rest = batch.select(batch.schema.names[:-1])
             columns = [*rest.columns, pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*rest.schema.names, "score"])
