@@ -8,7 +8,9 @@ words in overlapping windows of ``WIDTH`` characters, and nothing of a text is l
 Labels are of whole texts. Training follows the multiple-instance view: words that occur in toxic
 sentences far more often than in clean ones are the positive instances, frequent words of clean
 sentences the negative ones. Landmarks are taken from both; the Nyström map turns kernel values into
-features for a linear SVM (squared hinge, solved by Newton steps). A sentence scores as its highest
+features for a linear SVM (squared hinge, solved by Newton steps). Positive words train along with
+variants that have one or two characters put in. Every word is scored by the kernel itself: there is
+no filter before it. A sentence scores as its highest
 word, a text as its highest sentence, and a logistic curve fitted on training texts gives 0 to 1.
 
 Word counts cover all labelled training texts and are made in Spark; what the driver gathers is bounded
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -33,19 +36,21 @@ from pyspark.sql import functions as F
 
 from millsight.llm.common import counted_broadcast, plain_text, written
 
-DECAY = 0.35
+DECAY = 0.8
 WIDTH = 16
 STRIDE = 7
 #: What marks the ends of a word among its characters; no word holds white space.
 FIRST, LAST = "\t", "\n"
-CODES = 48
-POWER = 3
+#: Subsequence numbers below this are looked up in a table, larger ones in a sorted array.
+MOST_INDEXED = 1 << 22
+POWER = 2
 LANDMARKS = 160
-#: A word with fewer than this share of some toxic landmark's gapless triples (two at least) is far from
-#: all of them and takes the model's base value.
-NEAR = 0.4
-MOST_TOXIC_LANDMARKS = 128
 MOST_ALIKE = 0.85
+#: Variants of a positive word with one and with two inserted characters that train the classes, those
+#: that set the curve, and their share of the word's weight.
+GAPPED = 4
+GAPPED_ASIDE = 4
+GAPPED_WEIGHT = 0.25
 HARD_ROUNDS = 1
 MOST_POSITIVE = 1500
 MOST_NEGATIVE = 4500
@@ -78,41 +83,36 @@ def windows_of(word: str) -> Iterator[str]:
 
 @dataclass
 class Alphabet:
-    """Codes 1 .. CODES-1 for known letters and digits; 0 for all else, which matches nothing."""
+    """Codes from 1 for all characters of the training words; any other character gets a code behind
+    them, so it matches itself in a word's own norm and nothing in a landmark."""
 
     codes: dict[str, int]
 
     @classmethod
     def of(cls, words: Sequence[str]) -> Alphabet:
-        seen: dict[str, int] = {}
-        for char in "".join(words):
-            if char.isalnum() or char in (FIRST, LAST):
-                seen[char] = seen.get(char, 0) + 1
-        ranked = sorted(seen, key=lambda c: (-seen[c], c))[: CODES - 1]
-        return cls({c: i for i, c in enumerate(ranked, 1)})
+        return cls({c: i for i, c in enumerate(sorted(set().union(*words)), 1)})
 
     def encode(self, words: Sequence[str], width: int) -> np.ndarray:
+        """One row per word; 0 behind its end."""
         if not len(words):
             return np.zeros((0, width), np.int32)
         points = np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width)
         known = np.array([ord(c) for c in self.codes], np.uint32)
         table = np.zeros(int(known.max(initial=0)) + 2, np.int32)
         table[known] = list(self.codes.values())
-        return table[np.minimum(points, len(table) - 1)]
+        found = table[np.minimum(points, len(table) - 1)]
+        other = (found == 0) & (points > 0)
+        return np.where(other, len(self.codes) + points.astype(np.int32), found)
 
 
-def _triples(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """For each place (i, j, k): subsequence numbers, whether all characters are known, weight."""
-    width = codes.shape[1]
-    known = codes > 0
-    for i in range(width - 2):
-        for k in range(i + 2, width):
-            ends = known[:, i] & known[:, k]
-            if not ends.any():
-                continue
-            outer = codes[:, i] * CODES * CODES + codes[:, k]
-            for j in range(i + 1, k):
-                yield outer + codes[:, j] * CODES, ends & known[:, j], DECAY ** (k - i + 1)
+def _triples(letters: np.ndarray, base: int) -> Iterator[tuple[np.ndarray, float]]:
+    """For each place (i, j, k): subsequence numbers and weight; ``letters`` are below ``base``."""
+    columns = np.ascontiguousarray(letters.T, np.int64)
+    for i in range(len(columns) - 2):
+        for j in range(i + 1, len(columns) - 1):
+            pair = (columns[i] * base + columns[j]) * base
+            for k in range(j + 1, len(columns)):
+                yield pair + columns[k], DECAY ** (k - i + 1)
 
 
 def _norms(codes: np.ndarray) -> np.ndarray:
@@ -139,78 +139,68 @@ def _norms(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Landmarks:
-    """Feature vectors of the landmarks, of length one: ``rows[index[subsequence]]`` has all of them."""
+    """Feature vectors of the landmarks, of length one: ``rows[i + 1]`` has all of them for the
+    subsequence ``numbers[i]``, written in the landmarks' own ``letters`` (by code, 0 if not theirs)."""
 
-    index: np.ndarray
+    letters: np.ndarray
+    base: int
+    numbers: np.ndarray
     rows: np.ndarray
+    index: np.ndarray | None = None
 
     @classmethod
     def of(cls, codes: np.ndarray) -> Landmarks:
         norms = np.maximum(_norms(codes), 1e-12)
+        used = np.unique(codes[codes > 0])
+        letters = np.zeros(int(used.max(initial=0)) + 2, np.int64)
+        letters[used] = np.arange(1, len(used) + 1)
+        base = len(used) + 1
         found: dict[int, np.ndarray] = {}
-        for numbers, known, weight in _triples(codes):
-            for row in np.flatnonzero(known):
-                held = found.setdefault(int(numbers[row]), np.zeros(len(codes), np.float32))
+        for row, word in enumerate(letters[codes]):
+            for numbers, weight in _triples(word[word > 0][None, :], base):
+                held = found.setdefault(int(numbers[0]), np.zeros(len(codes), np.float32))
                 held[row] += weight / norms[row]
-        index = np.zeros(CODES**3, np.int32)
-        index[list(found)] = np.arange(1, len(found) + 1)
-        rows = np.stack([np.zeros(len(codes), np.float32), *found.values()])
-        return cls(index, rows)
+        order = sorted(found)
+        rows = np.stack([np.zeros(len(codes), np.float32), *(found[n] for n in order)])
+        marks = cls(letters, base, np.array(order, np.int64), rows)
+        if base**3 <= MOST_INDEXED:
+            marks.index = np.zeros(base**3, np.int32)
+            marks.index[marks.numbers] = np.arange(1, len(order) + 1)
+        return marks
+
+    def _found(self, numbers: np.ndarray) -> np.ndarray:
+        """Rows of subsequences, 0 for those no landmark has."""
+        if self.index is not None:
+            return self.index[numbers]
+        if not len(self.numbers):
+            return np.zeros(len(numbers), np.int64)
+        at = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
+        return np.where(self.numbers[at] == numbers, at + 1, 0)
 
     def kernel(self, codes: np.ndarray) -> np.ndarray:
         """The normalised kernel of each word with each landmark."""
         total = np.zeros((len(codes), self.rows.shape[1]), np.float32)
-        for numbers, known, weight in _triples(codes):
-            places = np.where(known, self.index[numbers], 0)
-            some = np.flatnonzero(places)
-            if len(some):
-                total[some] += self.rows[places[some]] * np.float32(weight)
+        letters = self.letters[np.minimum(codes, len(self.letters) - 1)]
+        for start in range(0, len(codes), 2048):
+            found, weights = [], []
+            for numbers, weight in _triples(letters[start : start + 2048], self.base):
+                found.append(self._found(numbers))
+                weights.append(weight)
+            if not found:
+                continue
+            weights = np.array(weights, np.float32)
+            for row, places in enumerate(np.ascontiguousarray(np.stack(found).T), start):
+                some = places.nonzero()[0]
+                total[row] = weights[some] @ self.rows[places[some]]
         return total / np.maximum(_norms(codes), 1e-12)[:, None]
 
 
-class Nearness:
-    """Which words may be near a toxic landmark: the gapless triples as bits of the landmarks with them."""
-
-    def __init__(self, codes: np.ndarray):
-        self.bits = np.zeros((CODES**3, 2), np.uint64)
-        needs = []
-        for i, word in enumerate(codes[:MOST_TOXIC_LANDMARKS]):
-            length = int(np.flatnonzero(word).max(initial=-1)) + 1
-            numbers = set(self._triples(word[None, :length])[:, 0].tolist()) if length > 2 else set()
-            for number in numbers:
-                self.bits[number, i // 64] |= np.uint64(1 << (i % 64))
-            needs.append(max(2, math.ceil(NEAR * len(numbers))))
-        self.bits[0] = 0
-        self.masks = np.zeros((max(needs, default=0) + 1, 2), np.uint64)
-        for i, need in enumerate(needs):
-            self.masks[need, i // 64] |= np.uint64(1 << (i % 64))
-
-    @staticmethod
-    def _triples(codes: np.ndarray) -> np.ndarray:
-        """Numbers of the gapless triples, one row per place; 0 where a character is unknown."""
-        one, two, three = codes[:, :-2], codes[:, 1:-1], codes[:, 2:]
-        known = (one > 0) & (two > 0) & (three > 0)
-        return np.where(known, one * CODES * CODES + two * CODES + three, 0).T
-
-    def find(self, codes: np.ndarray) -> np.ndarray:
-        """Rows that have as many triples of some landmark as it needs."""
-        counted = np.zeros((len(self.masks), len(codes), 2), np.uint64)  # [n]: seen at least n times
-        for numbers in self._triples(codes):
-            now = self.bits[numbers]
-            for n in range(len(counted) - 1, 1, -1):
-                counted[n] |= counted[n - 1] & now
-            if len(counted) > 1:
-                counted[1] |= now
-        return np.flatnonzero((counted & self.masks[:, None, :]).any((0, 2)))
-
-
 @dataclass
 class Model:
     """A word's value is bias + the powered kernel with each landmark times its weight."""
 
     alphabet: Alphabet
     landmarks: Landmarks | None
-    nearness: Nearness | None
     weights: np.ndarray
     bias: float
     slope: float
@@ -222,16 +212,11 @@ class Model:
         """Values of windows of at most ``WIDTH`` characters."""
         values = np.full(len(words), self.bias)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        close: list[int] = []
         for length in range(3, WIDTH + 1):
             for part in np.array_split(np.flatnonzero(lengths == length), 1 + len(words) // 8_000):
                 if len(part):
                     codes = self.alphabet.encode([words[i] for i in part], length)
-                    close += part[self.nearness.find(codes)].tolist()
-        for rows in np.array_split(np.array(close, np.int64), 1 + len(close) // 1_000):
-            if len(rows):
-                codes = self.alphabet.encode([words[i] for i in rows], WIDTH)
-                values[rows] += (self.landmarks.kernel(codes) ** POWER) @ self.weights
+                    values[part] += (self.landmarks.kernel(codes) ** POWER) @ self.weights
         return values
 
     def highest(self, texts: Sequence[str]) -> np.ndarray:
@@ -259,6 +244,19 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(found, -40, 40)))
 
 
+def gapped(word: str, letters: Sequence[str], draws: Sequence[int]) -> Iterator[str]:
+    """Per draw the word with one and with two inserted characters, drawn by hash."""
+    for inserted in (1, 2):
+        for draw in draws:
+            found = word
+            for step in range(inserted):
+                value = zlib.crc32(f"{word} {inserted} {draw} {step}".encode())
+                at = 1 + value % max(len(found) - 1, 1)
+                found = found[:at] + letters[(value >> 8) % len(letters)] + found[at:]
+            if len(found) <= WIDTH - 2:
+                yield found
+
+
 def _svm(features: np.ndarray, signs: np.ndarray, weights: np.ndarray, cost: float) -> np.ndarray:
     """Linear SVM with squared hinge loss; the last weight is the bias."""
     rows = np.hstack([features, np.ones((len(features), 1))])
@@ -311,6 +309,15 @@ def fit(
     cost: float = 3.0,
 ) -> Model:
     """A model from weighted positive and negative words and a sample of labelled texts."""
+    strongest = max((w for _, w in positive), default=0.0)
+    letters = sorted(set().union(*(w for w, _ in [*positive, *negative])))
+    known = {w for w, _ in [*positive, *negative]}
+    plain, positive = positive, list(positive)
+    for word, weight in plain:
+        for variant in gapped(word, letters, range(GAPPED)):
+            if variant not in known:
+                known.add(variant)
+                positive.append((variant, GAPPED_WEIGHT * weight))
     words = [FIRST + w + LAST for w, _ in [*positive, *negative]]
     signs = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     weights = np.array([w for _, w in positive] + [w for _, w in negative])
@@ -335,9 +342,13 @@ def fit(
         mine = signs == side
         weights[mine] /= weights[mine].sum()
     found = _svm(kernel @ root, signs, weights * len(words) / 2, cost)
-    near = Nearness(codes[[i for i in chosen if signs[i] > 0]])
-    model = Model(alphabet, marks, near, root @ found[:-1], float(found[-1]), 1.0, 0.0)
-    model.slope, model.shift = _logistic(model.highest(texts), labels)
+    model = Model(alphabet, marks, root @ found[:-1], float(found[-1]), 1.0, 0.0)
+    # Other variants of the strong words stand for texts whose insults have letters put in.
+    aside = range(GAPPED, GAPPED + GAPPED_ASIDE)
+    strong = [w for w, weight in plain if 2 * weight >= strongest]
+    unseen = [v for w in strong for v in gapped(w, letters, aside) if v not in known]
+    labels = np.concatenate([labels, np.ones(len(unseen))])
+    model.slope, model.shift = _logistic(model.highest([*texts, *unseen]), labels)
     return model
 
 
@@ -361,7 +372,7 @@ def train(
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         share = toxic / max(toxic + clean, 1)
-        return Model(Alphabet({}), None, None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
+        return Model(Alphabet({}), None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
 
     plain = F.regexp_replace(F.lower("_text"), r"(?U)[^\w\s]|_", "")
     words = rows.select("_label", F.split(plain, r"(?U)\s+").alias("words"))
@@ -400,7 +411,7 @@ def train(
     minus = {r[0]: float(r[2]) ** 0.25 for r in [*frequent.collect(), *others.collect()]}
     if not plus or not minus:
         share = toxic / (toxic + clean)
-        return Model(Alphabet({}), None, None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
+        return Model(Alphabet({}), None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
     sample = []
     for value in (0, 1):
         kind = rows.filter(F.col("_label") == value).withColumn("_draw", F.xxhash64("_text"))
@@ -425,7 +436,7 @@ def score(
     asked = documents.select(*carry, plain_text(text).alias("_text"))
     kept = [f.simpleString().replace(":", " ", 1) for f in asked.schema.fields[:-1]]
     model.cache.clear()
-    # Tables of CODES ** 3 numbers and the landmarks' features (some 30 MB), whatever the input's size.
+    # The index of numbers and the landmarks' features (some 30 MB), whatever the input's size.
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

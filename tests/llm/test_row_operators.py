@@ -170,6 +170,32 @@ def test_toxicity_learns_gapped_insults(frame):
     assert model.scores(["", "ordinary words"]).max() < 0.5
 
 
+def small_toxicity_model(insults, letters):
+    rng = np.random.default_rng(11)
+    clean = ["".join(rng.choice(letters, rng.integers(4, 10))) for _ in range(800)]
+    texts = [" ".join(rng.choice(clean, 40)) for _ in range(200)]
+    labels = np.array([float(i % 4 == 0) for i in range(200)])
+    texts = [t + " " + insults[i % len(insults)] if labels[i] else t for i, t in enumerate(texts)]
+    model = toxicity.fit([(w, 9.0) for w in insults], [(w, 1.0) for w in clean[:700]], texts, labels)
+    return model, clean
+
+
+def test_toxicity_finds_insults_with_inserted_letters():
+    insults = ["idiot", "trash", "disgusting", "worthless"]
+    model, clean = small_toxicity_model(insults, list("abcdefghilmnoprstuvy"))
+    one = ["idxiot", "trqash", "disgxusting", "worthlekss", "idioxt", "traxsh"]
+    two = ["ixdioxt", "txraxsh", "disgxustzing", "wxorthlesqs", "dxisguxsting"]
+    rest = " ".join(clean[700:730])
+    assert (model.scores([f"{rest} {w}" for w in one]) >= 0.5).all()
+    assert (model.scores([f"{rest} {w}" for w in two]) >= 0.5).all()
+    assert (model.scores(clean[700:]) >= 0.5).mean() < 0.05 and model.scores([rest])[0] < 0.5
+    # Every word has the value of the kernel itself.
+    marked = [toxicity.FIRST + w + toxicity.LAST for w in [*two, *clean[700:720]]]
+    codes = model.alphabet.encode(marked, toxicity.WIDTH)
+    by_kernel = model.bias + model.landmarks.kernel(codes) ** toxicity.POWER @ model.weights
+    assert np.allclose(model.word_values(marked), by_kernel, atol=1e-3)
+
+
 def test_toxicity_without_labels(frame, odd_documents):
     none = frame("doc_id long, toxic int")
     model = toxicity.train(odd_documents, none)
