@@ -196,6 +196,24 @@ def test_toxicity_finds_insults_with_inserted_letters():
     assert np.allclose(model.word_values(marked), by_kernel, atol=1e-3)
 
 
+def test_toxicity_knows_all_characters():
+    letters = list("abcdefghijklmnopqrstuvwxyz0123456789äöüßéèêáíóúñçàâîôû")
+    model, clean = small_toxicity_model(["идиот", "дурак", "мерзавец"], letters)
+    assert len(model.alphabet.codes) > 60
+    rest = " ".join(clean[700:730])
+    texts = [f"{rest} идиот", f"{rest} дур-ак", f"{rest} м е р з а в е ц", f"{rest} идхиот"]
+    assert (model.scores(texts) >= 0.5).all() and model.scores([rest])[0] < 0.5
+    # A character no training word has counts in the word's own norm only, and a large alphabet has no table.
+    marked = [toxicity.FIRST + w + toxicity.LAST for w in ("идиот", "идижот", "ид漢иот")]
+    alphabet = toxicity.Alphabet.of(marked[:1])
+    marks = toxicity.Landmarks.of(alphabet.encode(marked[:1], toxicity.WIDTH))
+    codes = alphabet.encode(marked, toxicity.WIDTH)
+    wanted = [kernel(w, "идиот") for w in ("идиот", "идижот", "ид漢иот")]
+    assert np.allclose(marks.kernel(codes)[:, 0], wanted, atol=1e-5)
+    marks.index = None
+    assert np.allclose(marks.kernel(codes)[:, 0], wanted, atol=1e-5)
+
+
 def test_toxicity_without_labels(frame, odd_documents):
     none = frame("doc_id long, toxic int")
     model = toxicity.train(odd_documents, none)
