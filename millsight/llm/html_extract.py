@@ -10,6 +10,9 @@ Text inside menus, page headers, footers, sidebars, notices, adverts, forms, scr
 and hidden elements is left out wherever it stands. A block is the text between two boundaries of block
 elements: character references decoded, white space (line breaks too) one space, trimmed.
 
+A quote opens an attribute's value only behind ``=``, and the value ends at the next such quote however
+far it is; a quote that is never closed is a plain character.
+
 Defined results: null or empty html gives an empty text; a null URL is of the host "", as is one
 without ``://``; a page without a scored container gives all its text outside dropped elements; equal
 rows are voters of their own; unclosed elements end where HTML would end them, at the latest with the page.
@@ -34,12 +37,11 @@ LEAST_SHARE = 0.25
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}'|[\"'])*+)>",
+    r"|<([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)|=)*+)>",
     re.S,
 )
 _ATTRIBUTE = re.compile(
-    r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-    re.I,
+    r"([^\s/=>][^\s/=>]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+)))?"
 )
 _PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")

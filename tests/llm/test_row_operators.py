@@ -43,6 +43,15 @@ def test_extraction_of_odd_pages(html, text):
     assert html_extract.extract(html, "nowhere")[0] == text
 
 
+@pytest.mark.parametrize("quote, other", ['"\'', '\'"'])
+def test_long_attributes_are_no_text(quote, other):
+    value = f"{{a: 1 > 0}} <div class={other}nav{other}><p>markup inside a value > that is no text</p> " * 200
+    html = f"<body><div class=post data-x={quote}{value}{quote}><p>{'real words of it ' * 5}</p></div></body>"
+    assert html_extract.extract(html, None)[0] == ("real words of it " * 5).strip()
+    stray = f"<body><p title=it's{other} {quote}>first words</p><p id={quote}never closed>second words</p>"
+    assert html_extract.extract(stray, None)[0] == "first words\nsecond words"
+
+
 def test_host_consensus_overrules_one_page(spark, frame):
     body = "<p>%s</p>" % ("plain words of an article, quite a few of them, " * 4)
     common = f"<body><div class=box>{body}</div><div class=extra><p>short aside here, not long</p></div>"
