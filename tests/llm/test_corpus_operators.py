@@ -333,6 +333,23 @@ def test_repeated_passages(spark, frame):
     assert substring_dedup.repeated_passages(documents.limit(0)).count() == 0
 
 
+def test_passages_need_one_partner_and_short_texts_hide_none(frame):
+    rng = random.Random(12)
+
+    def words(n):
+        return [f"v{rng.randrange(5000)}" for _ in range(n)]
+
+    shared, stock = words(60), [words(14) for _ in range(5)]
+    rows = [(0, words(70) + shared + words(50)), (1, words(40) + shared + words(90))]
+    rows += [(10 + i, shared[10 * i : 10 * i + 10] + words(5)) for i in range(6)]
+    rows += [(20 + i, words(30) + line + words(30)) for i, line in enumerate(stock)]
+    rows += [(30, [w for line in stock for w in line])]
+    documents = frame("doc_id long, text string", *[(i, " ".join(t)) for i, t in rows])
+    found = substring_dedup.repeated_passages(documents)
+    found = sorted((r.doc_id, r.start_word, r.end_word) for r in found.collect())
+    assert found == [(0, 70, 130), (1, 40, 100)]
+
+
 def test_passages_of_the_table(spark, folder, rows_of):
     texts = dict(rows_of("documents", "doc_id", "text"))
     owners = defaultdict(set)
