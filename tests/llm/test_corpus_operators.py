@@ -341,7 +341,7 @@ def test_passages_need_one_partner_and_short_texts_hide_none(frame):
 
     shared, stock = words(60), [words(14) for _ in range(5)]
     rows = [(0, words(70) + shared + words(50)), (1, words(40) + shared + words(90))]
-    rows += [(10 + i, shared[10 * i : 10 * i + 10] + words(5)) for i in range(6)]
+    rows += [(100 + i, shared[i : i + 11]) for i in range(50)]
     rows += [(20 + i, words(30) + line + words(30)) for i, line in enumerate(stock)]
     rows += [(30, [w for line in stock for w in line])]
     documents = frame("doc_id long, text string", *[(i, " ".join(t)) for i, t in rows])
