@@ -11,10 +11,13 @@ from millsight.llm.chat_format import INSTRUCT, format_chats, loss_text, read_ba
 from millsight.llm.common import table
 from millsight.llm.decontaminate import find_items
 from millsight.llm.html_extract import main_text
+from millsight.llm.merkle import COLUMNS, folded, leaf, manifest, proof
 from millsight.llm.mixing import mix
 from millsight.llm.ngram_join import near_duplicates
 from millsight.llm.quality_rules import judge
 from millsight.llm.sharding import assign_shards
+from millsight.llm.simhash import near_copies
+from millsight.llm.spelling import runs, variants, vocabulary
 from millsight.llm.substring_dedup import repeated_passages
 from millsight.llm.toxicity import score, train
 from millsight.llm.url_filter import apply_rules
@@ -30,8 +33,8 @@ URL_RULES = (
 )
 #: What both rows of conversation -1 say (fixed value).
 PROBE_TEXT = "</s>[INST] ok [/INST]"
-
-
+#: One document of so many, by crc32 of its id, is tampered with (fixed value).
+TAMPERED = 7
 #: Every fold-th document by crc32 of its id is held out of training (fixed value).
 FOLDS = 5
 
@@ -126,6 +129,32 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "text_class", "n_copies", "n_links")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = vocabulary(runs(table(spark, folder, "documents")))
+    return variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select(*COLUMNS)
+    changed = leaf(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in COLUMNS])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % TAMPERED == 0, changed)
+    found = manifest(documents.withColumn("tampered", tampered), carry=("tampered",))
+    found = found.withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(proof(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -137,6 +166,9 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_mixing": op9_mixing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -158,7 +190,127 @@ def _marks_sql() -> str:
     return f"CASE role {named} ELSE {fixed} + length({_escaped_sql('role')}) END"
 
 
+#: The table of CRC-32 (public polynomial), one row with a list of its 256 entries.
+_CRC_SQL = """
+        crc_steps AS (
+            SELECT i, 0 AS step, i AS c FROM range(256) AS t(i)
+            UNION ALL
+            SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+            FROM crc_steps WHERE step < 8),
+        crc_table AS (SELECT list(c ORDER BY i) AS entries FROM crc_steps WHERE step = 8)"""
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text of code points below 256, next to ``crc_table``."""
+    points = f"list_transform(string_split({text}, ''), lambda x: CAST(unicode(x) AS BIGINT))"
+    octets = f"flatten(list_transform({points}, lambda c: CASE WHEN c < 128 THEN [c] ELSE [c // 64 + 192, c % 64 + 128] END))"
+    step = "lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), {step}))"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+    written = [f"coalesce(CAST(octet_length(encode({f})) AS VARCHAR) || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(written)})"
+
+
+def _levels_sql(name: str, leaves: str) -> str:
+    """All nodes of the trees whose numbered leaves a relation holds."""
+    return f"""{name} AS (
+            SELECT tree, 0 AS level, idx, digest, size FROM {leaves}
+            UNION ALL
+            SELECT tree, level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (max(size) + 1) // 2
+            FROM {name} WHERE size > 1 GROUP BY tree, level, idx // 2)"""
+
+
+def _climb_sql(name: str, start: str, nodes: str) -> str:
+    """From the rows (id, tree, idx, size, siblings, folded) of ``start`` up to the root, level by level."""
+    return f"""{name} AS (
+            SELECT id, tree, 0 AS level, idx, size, siblings, folded FROM {start}
+            UNION ALL
+            SELECT w.id, w.tree, w.level + 1, w.idx // 2, (w.size + 1) // 2, w.siblings || coalesce(s.digest, ''),
+                sha256(CASE WHEN s.digest IS NULL THEN w.folded WHEN w.idx % 2 = 0 THEN w.folded || s.digest
+                    ELSE s.digest || w.folded END)
+            FROM {name} AS w LEFT JOIN {nodes} AS s
+                ON s.tree = w.tree AND s.level = w.level AND s.idx = xor(w.idx, 1)
+            WHERE w.size > 1)"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_spelling_variants": rf"""
+        WITH RECURSIVE {_CRC_SQL},
+        runs AS (
+            SELECT key, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+                count(*) AS times
+            FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS key,
+                    unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+                FROM documents)
+            GROUP BY ALL),
+        drawn AS (SELECT *, {_crc32_sql("key || ':' || run")} AS h FROM runs CROSS JOIN crc_table),
+        words AS (
+            SELECT CASE WHEN h % 199 = 0
+                    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                times
+            FROM drawn),
+        vocabulary AS (
+            SELECT word, CAST(sum(times) AS BIGINT) AS n FROM words WHERE length(word) >= 6
+            GROUP BY word HAVING sum(times) >= 5),
+        holes AS (
+            SELECT word, length(word) AS size, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+            FROM (SELECT word, unnest(range(1, length(word) + 1)) AS place FROM vocabulary)),
+        pairs AS (
+            SELECT a.word, b.word AS near FROM holes AS a JOIN holes AS b USING (size, place, rest)
+            WHERE a.word <> b.word
+            UNION SELECT v.word, h.word FROM holes AS h JOIN vocabulary AS v ON h.rest = v.word
+            UNION SELECT h.word, v.word FROM holes AS h JOIN vocabulary AS v ON h.rest = v.word),
+        best AS (
+            SELECT p.word, count(*) OVER (PARTITION BY p.word) AS n_near, near, v.n AS near_n
+            FROM pairs AS p JOIN vocabulary AS v ON v.word = p.near
+            QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, near) = 1),
+        judged AS (
+            SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+                CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+            FROM vocabulary AS v LEFT JOIN best AS b ON b.word = v.word),
+        chains AS (
+            SELECT word, word AS root, 0 AS step FROM judged
+            UNION ALL
+            SELECT c.word, j.form, step + 1 FROM chains AS c JOIN judged AS j ON j.word = c.root
+            WHERE j.form IS NOT NULL),
+        roots AS (SELECT word, arg_max(root, step) AS root FROM chains GROUP BY word)
+        SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)
+    """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE {_CRC_SQL},
+        leaves AS (
+            SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS tree,
+                {_leaf_sql("n_chars")} AS digest, {_leaf_sql("(n_chars + 1)")} AS changed,
+                coalesce({_crc32_sql("CAST(doc_id AS VARCHAR)")} % 7 = 0, false) AS tampered
+            FROM documents CROSS JOIN crc_table),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx,
+                count(*) OVER (PARTITION BY tree) AS size
+            FROM leaves),
+        {_levels_sql("nodes", "placed")},
+        start AS (
+            SELECT id, tree, idx, size, '' AS siblings,
+                CASE WHEN tampered THEN changed ELSE digest END AS folded
+            FROM placed),
+        {_climb_sql("walk", "start", "nodes")},
+        subroots AS (
+            SELECT '' AS tree, tree AS lower, row_number() OVER (ORDER BY tree) - 1 AS idx, digest,
+                count(*) OVER () AS size
+            FROM nodes WHERE size = 1),
+        {_levels_sql("top_nodes", "subroots")},
+        arrived AS (
+            SELECT w.id, s.tree, s.idx, s.size, w.siblings, w.folded
+            FROM walk AS w JOIN subroots AS s ON s.lower = w.tree WHERE w.size = 1),
+        {_climb_sql("top_walk", "arrived", "top_nodes")}
+        SELECT doc_id, p.digest AS leaf, s.digest AS subroot, r.digest AS root,
+            sha256(t.siblings) AS proof_sha256, t.folded AS folded_root, t.folded = r.digest AS verified
+        FROM placed AS p JOIN top_walk AS t ON t.id = p.id AND t.size = 1
+            JOIN subroots AS s ON s.lower = p.tree
+            CROSS JOIN (SELECT digest FROM top_nodes WHERE size = 1) AS r
+    """,
     "op7_url_filters": f"""
         WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULE_ROWS}),
         parts AS (
