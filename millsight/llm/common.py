@@ -33,9 +33,12 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def counted_broadcast(frame: DataFrame, most_rows: int = 500_000) -> DataFrame:
-    """A written table with narrow rows, to be broadcast only if its counted rows are few enough."""
-    return F.broadcast(frame) if frame.count() <= most_rows else frame
+def counted_broadcast(frame: DataFrame, most_rows: int = 500_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """A written table, to be broadcast only if its counted rows and the bytes of its texts are few enough."""
+    texts = [F.sum(F.octet_length(f.name)) for f in frame.schema if f.dataType.typeName() in ("string", "binary")]
+    rows, *sizes = frame.agg(F.count("*"), *texts).first()
+    small = rows <= most_rows and sum(size or 0 for size in sizes) <= most_bytes
+    return F.broadcast(frame) if small else frame
 
 
 def plain_text(column: str = "text") -> Column:

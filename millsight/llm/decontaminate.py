@@ -6,12 +6,13 @@ then occurs unchanged. An Aho-Corasick automaton finds every piece in the whole
 the stretch of text the item would lie in, overlapping stretches of an item are merged, and Myers'
 bit-parallel search gives the least edit distance there.
 
-The benchmark is taken in chunks of at most ``CHUNK_CHARS`` characters, each broadcast by itself and held
-against all documents, so neither driver nor task ever holds more than one chunk of it.
+The benchmark is taken in chunks of at most ``CHUNK_CHARS`` characters. Each is broadcast, held against all
+documents, what it found written, and the broadcast given up before the next one, so neither driver nor
+task ever holds more than one chunk of it.
 
 Defined results: a null or empty text holds nothing; an item without letters or digits is never found;
 items with equal text are all found; equal rows are judged one by one; an empty benchmark finds
-nothing; carried columns are passed through under their names.
+nothing; carried columns are passed through under their names, whatever these are.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millsight.llm.common import counted_broadcast, written
+
 EDIT_RATE = 0.05
 CHUNK_CHARS = 1_000_000
 
@@ -131,8 +134,37 @@ def _chunks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tupl
         yield held
 
 
-def _texts(batch: pa.RecordBatch) -> list[str | None]:
-    return batch.column(batch.schema.get_field_index("_text")).to_pylist()
+def _match_batches(shared, rate: float):
+    def run(batches):
+        matcher = Matcher(shared.value, rate)
+        for batch in batches:
+            rows, found = [], []
+            for row, body in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                for match in matcher.matches(body):
+                    rows.append(row)
+                    found.append(match)
+            taken = batch.select(batch.schema.names[:-1]).take(pa.array(rows, pa.int64()))
+            kinds = (pa.int64(), pa.int32(), pa.int32())
+            own = [pa.array([m[i] for m in found], k) for i, k in enumerate(kinds)]
+            names = [*taken.schema.names, "item_id", "distance", "end_char"]
+            yield pa.RecordBatch.from_arrays([*taken.columns, *own], names)
+
+    return run
+
+
+def _found(asked: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, rate: float) -> DataFrame:
+    """Matches of the last column of ``asked`` by its other columns, chunk by chunk of the benchmark."""
+    kept = [f.simpleString().replace(":", " ", 1) for f in asked.schema.fields[:-1]]
+    schema = ", ".join([*kept, "item_id bigint", "distance int", "end_char int"])
+    context = asked.sparkSession.sparkContext
+    passes = []
+    for items in _chunks(benchmark, item_id, item_text):
+        shared = context.broadcast(items)
+        passes.append(written(asked.mapInArrow(_match_batches(shared, rate), schema), "leaks"))
+        shared.destroy()
+    if not passes:
+        passes.append(asked.limit(0).mapInArrow(_match_batches(context.broadcast([]), rate), schema))
+    return reduce(DataFrame.unionAll, passes)
 
 
 def find_items(
@@ -145,32 +177,10 @@ def find_items(
     rate: float = EDIT_RATE,
 ) -> DataFrame:
     """A row per document and item found in it: carried columns, item_id, distance, end_char."""
-    asked = documents.select(*carry, F.col(text).cast("string").alias("_text"))
-    kept = [f.simpleString().replace(":", " ", 1) for f in asked.schema.fields[:-1]]
-    schema = ", ".join([*kept, "item_id bigint", "distance int", "end_char int"])
-    context = documents.sparkSession.sparkContext
-
-    def pass_over(items):
-        shared = context.broadcast(items)
-
-        def run(batches):
-            matcher = Matcher(shared.value, rate)
-            for batch in batches:
-                rows, found = [], []
-                for row, body in enumerate(_texts(batch)):
-                    for match in matcher.matches(body):
-                        rows.append(row)
-                        found.append(match)
-                taken = batch.select(batch.schema.names[:-1]).take(pa.array(rows, pa.int64()))
-                kinds = (pa.int64(), pa.int32(), pa.int32())
-                own = [pa.array([m[i] for m in found], k) for i, k in enumerate(kinds)]
-                names = [*taken.schema.names, "item_id", "distance", "end_char"]
-                yield pa.RecordBatch.from_arrays([*taken.columns, *own], names)
-
-        return asked.mapInArrow(run, schema)
-
-    passes = [pass_over(items) for items in _chunks(benchmark, item_id, item_text)]
-    return reduce(DataFrame.unionAll, passes or [pass_over([])])
+    own = [F.col(c).alias(f"_carried_{i}") for i, c in enumerate(carry)]
+    asked = documents.select(*own, F.col(text).cast("string").alias("_text"))
+    found = _found(asked, benchmark, item_id, item_text, rate)
+    return found.toDF(*carry, "item_id", "distance", "end_char")
 
 
 def drop_contaminated(
@@ -181,18 +191,13 @@ def drop_contaminated(
     item_text: str = "text",
     rate: float = EDIT_RATE,
 ) -> DataFrame:
-    """The documents that hold no item of the benchmark; rows never leave their partition."""
-    columns = documents.columns
-    context = documents.sparkSession.sparkContext
-    for items in _chunks(benchmark, item_id, item_text):
-        shared = context.broadcast(items)
-
-        def run(batches, shared=shared):
-            matcher = Matcher(shared.value, rate)
-            for batch in batches:
-                clean = [not matcher.matches(body) for body in _texts(batch)]
-                yield batch.select(batch.schema.names[:-1]).filter(pa.array(clean, pa.bool_()))
-
-        asked = documents.withColumn("_text", F.col(text).cast("string"))
-        documents = asked.mapInArrow(run, documents.schema)
-    return documents.select(*columns)
+    """The documents that hold no item of the benchmark.
+
+    Equal texts hold the same items, so texts are named by their digests and documents are kept by an
+    anti-join with those of the texts found.
+    """
+    body = F.col(text).cast("string")
+    asked = documents.select(F.unhex(F.md5(body)).alias("_key"), body.alias("_text"))
+    leaks = _found(asked, benchmark, item_id, item_text, rate).select("_key").distinct()
+    leaks = counted_broadcast(written(leaks, "leaked-texts"))
+    return documents.join(leaks, F.unhex(F.md5(documents[text].cast("string"))) == leaks["_key"], "left_anti")

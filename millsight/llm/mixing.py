@@ -30,7 +30,11 @@ CHUNK = 4096
 
 @dataclass(frozen=True)
 class Mix:
-    """documents: one row each with its take; sources: targets; pieces: what each shard holds."""
+    """documents: one row each with its take; sources: targets; pieces: what each shard holds.
+
+    A document's ``placement`` is a digest of where the tree sent its pieces: of pass, block, words and
+    shard of each.
+    """
 
     documents: DataFrame
     sources: DataFrame
@@ -168,10 +172,17 @@ def mix(
     pieces = pieces.join(blocks, ["source_no", "block"]).withColumn("order_key", order)
     pieces = written(pieces, "mix-pieces")
 
-    taken = pieces.groupBy("row").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    named = F.concat_ws(":", "pass", "block", "from_word", "to_word", "shard")
+    taken = pieces.groupBy("row").agg(
+        F.sum(F.col("to_word") - F.col("from_word")).alias("taken"),
+        F.count("*").alias("n_pieces"),
+        F.md5(F.array_join(F.sort_array(F.collect_list(named)), ",")).alias("placement"),
+    )
     kept = rows.join(taken, "row", "left").select(
         "row", "doc_id", "source", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).alias("taken"),
+        F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"),
+        "placement",
         *[F.col(f"_carried_{i}").alias(c) for i, c in enumerate(carry)],
     )
     return Mix(kept, sources, pieces)

@@ -90,17 +90,16 @@ def text_features(text: bytes) -> tuple[int, ...]:
 
 def _feature_batches(batches):
     for batch in batches:
-        place = batch.schema.get_field_index("_text")
-        rows = [text_features(t or b"") for t in batch.column(place).cast(pa.binary()).to_pylist()]
+        *kept, texts = batch.columns
+        rows = [text_features(t or b"") for t in texts.cast(pa.binary()).to_pylist()]
         found = np.array(rows, np.int64).reshape(len(rows), len(FEATURES))
         columns = [pa.array(found[:, i]) for i in range(len(FEATURES))]
-        kept = [batch.column(i) for i in range(batch.num_columns) if i != place]
-        names = [n for n in batch.schema.names if n != "_text"]
-        yield pa.RecordBatch.from_arrays([*kept, *columns], [*names, *FEATURES])
+        yield pa.RecordBatch.from_arrays([*kept, *columns], [*batch.schema.names[:-1], *FEATURES])
 
 
 def measure(documents: DataFrame, carry: Sequence[str], text: str = "text") -> DataFrame:
-    """The carried columns and ``FEATURES`` of every row."""
+    """The carried columns and ``FEATURES`` of every row; a carried column of a feature's name is left out."""
+    carry = [c for c in carry if c not in FEATURES]
     asked = documents.select(*carry, F.col(text).cast("string").alias("_text"))
     kept = [f.simpleString().replace(":", " ", 1) for f in asked.schema.fields[:-1]]
     schema = ", ".join([*kept, *(f"{name} bigint" for name in FEATURES)])
@@ -180,6 +179,8 @@ def judge(
 ) -> DataFrame:
     """Carried columns, ``FEATURES``, base_failed, the votes, quality (posterior) and kept.
 
+    A carried column of one of these names gives way to the operator's own.
+
     The features are needed twice: ``store`` writes them (with the carried columns), without it they are
     computed again, which saves the space when whole texts are carried.
     """

@@ -121,7 +121,9 @@ def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     dealt = mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
-    return dealt.documents.select("doc_id", "size", "source_size", "target", "taken")
+    return dealt.documents.select(
+        "doc_id", "size", "source_size", "target", "taken", "n_pieces", "placement"
+    )
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,6 +238,17 @@ def _climb_sql(name: str, start: str, nodes: str) -> str:
             WHERE w.size > 1)"""
 
 
+#: The splitting tree of the mix, level by level: half of a node's blocks go left, by a permutation.
+_SPLITS_SQL = "\n        ".join(
+    f"""dealt{level + 1} AS (
+            SELECT source_no, block, 2 * shard + CAST(row_number() OVER (
+                    PARTITION BY shard ORDER BY md5(concat_ws(':', '29/{level}', source_no, block)), source_no, block)
+                > (count(*) OVER (PARTITION BY shard) + 1) // 2 AS INTEGER) AS shard
+            FROM dealt{level}),"""
+    for level in range(3)
+)
+
+
 ORACLES: dict[str, str] = {
     "op11_spelling_variants": rf"""
         WITH RECURSIVE {_CRC_SQL},
@@ -367,6 +380,7 @@ ORACLES: dict[str, str] = {
             SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM facts GROUP BY source),
         weighed AS (
             SELECT *, 3 * source_size AS cap,
+                row_number() OVER (ORDER BY source IS NULL, source) AS source_no,
                 (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight
             FROM sources),
         levels AS (
@@ -377,16 +391,35 @@ ORACLES: dict[str, str] = {
                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
             FROM weighed),
         targets AS (
-            SELECT source, source_size, coalesce(least(CAST(cap AS DOUBLE),
+            SELECT source, source_size, source_no, coalesce(least(CAST(cap AS DOUBLE),
                 max(CASE WHEN level <= cap / weight THEN level END) OVER () * weight), 0) AS target
             FROM levels),
         stream AS (
-            SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS goal,
+            SELECT row_number() OVER () AS id, doc_id, size, source_size, target, source_no,
+                CAST(round(target) AS BIGINT) AS goal,
                 CAST(sum(size) OVER (PARTITION BY facts.source ORDER BY place) - size AS BIGINT) AS s
-            FROM facts JOIN targets ON facts.source IS NOT DISTINCT FROM targets.source)
+            FROM facts JOIN targets ON facts.source IS NOT DISTINCT FROM targets.source),
+        passes AS (
+            SELECT id, source_no, pass, pass * source_size + s AS start,
+                least(pass * source_size + s + size, goal) AS stop
+            FROM stream, (VALUES (0), (1), (2)) AS p(pass) WHERE size > 0 AND pass * source_size + s < goal),
+        cut AS (
+            SELECT *, unnest(range(start // 16384, (stop - 1) // 16384 + 1)) AS block FROM passes),
+        dealt0 AS (
+            SELECT source_no, 0 AS shard,
+                unnest(range(0, (CAST(round(target) AS BIGINT) + 16383) // 16384)) AS block
+            FROM targets),
+        _LEVELS_
+        pieces AS (
+            SELECT id, count(*) AS n_pieces,
+                md5(array_to_string(list_sort(list(concat_ws(':', pass, block,
+                    greatest(start, block * 16384) - start, least(stop, (block + 1) * 16384) - start, shard))),
+                    ',')) AS placement
+            FROM cut JOIN dealt3 USING (source_no, block) GROUP BY id)
         SELECT doc_id, size, source_size, target,
             greatest(0, least(size, goal - s)) + greatest(0, least(size, goal - source_size - s))
-            + greatest(0, least(size, goal - 2 * source_size - s)) AS taken
-        FROM stream
-    """,
+            + greatest(0, least(size, goal - 2 * source_size - s)) AS taken,
+            coalesce(n_pieces, 0) AS n_pieces, placement
+        FROM stream LEFT JOIN pieces USING (id)
+    """.replace("_LEVELS_", _SPLITS_SQL),
 }

@@ -78,6 +78,31 @@ def test_decontamination_of_odd_rows(odd_documents, frame, monkeypatch):
     assert decontaminate.find_items(odd_documents, items.limit(0)).count() == 0
 
 
+def test_decontamination_with_clashing_names(frame):
+    """Columns named like the operator's own are carried as they are."""
+    items = frame("item_id long, text string", (1, "one two three four"))
+    schema = "doc_id long, text string, _text string, _key string, distance int, item_id string"
+    documents = frame(schema, (1, "say one two three four now", "t", "k", 7, "i"), (2, "other words", "t", "k", 8, "j"))
+    kept = decontaminate.drop_contaminated(documents, items)
+    assert [tuple(r) for r in kept.collect()] == [(2, "other words", "t", "k", 8, "j")]
+    found = decontaminate.find_items(documents, items, carry=("_text", "_key", "doc_id"))
+    assert found.columns == ["_text", "_key", "doc_id", "item_id", "distance", "end_char"]
+    assert [tuple(r)[:5] for r in found.collect()] == [("t", "k", 1, 1, 0)]
+
+
+def test_a_large_benchmark_is_taken_in_passes(spark, frame, monkeypatch):
+    """The chunk bounds what is broadcast; every pass is written and its broadcast given up."""
+    monkeypatch.setattr(decontaminate, "CHUNK_CHARS", 2000)
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(12))) for i in range(200)]
+    documents = [(i, f"before it {items[i][1]} after it") for i in range(0, 200, 9)]
+    found = decontaminate.find_items(
+        frame("doc_id long, text string", *documents, (-1, "nothing of it")),
+        frame("item_id long, text string", *items).repartition(3),
+    )
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(i, i) for i in range(0, 200, 9)]
+
+
 def test_decontamination_of_the_table(spark, folder, rows_of):
     found = {(r.doc_id, r.item_id) for r in QUERIES["op2_benchmark_decontamination"](spark, folder).collect()}
     items = [(i, decontaminate.normalised(t)) for i, t in rows_of("benchmark", "item_id", "text")]
@@ -111,6 +136,22 @@ def test_shards_of_the_table(spark, folder, rows_of):
     assert [r.doc_id for r in ordered] == sorted(texts)
 
 
+def test_shards_by_the_plain_law(spark, folder, rows_of):
+    """Bytes before a row in (key, text hash) order decide its shard: recomputed row by row."""
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    placed = documents.selectExpr("doc_id", "shiftrightunsigned(xxhash64(text), 11) AS h", "octet_length(text) + 1 AS size")
+    rows = sorted(tuple(r) for r in placed.collect())
+    total, before, wanted, slots = sum(r[2] for r in rows), 0, {}, Counter()
+    for doc_id, _, size in rows:
+        middle = before + before + size  # twice the middle of the row
+        shard = min(7, middle * 8 // (2 * total))
+        wanted[doc_id] = (shard, slots[shard])
+        slots[shard] += 1
+        before += size
+    found = {r.doc_id: (r.shard, r.slot) for r in QUERIES["op4_sharding"](spark, folder).collect()}
+    assert found == wanted
+
+
 def test_hot_keys_and_equal_rows_are_split(spark, frame):
     rows = [(1 if i % 3 else i, "same" if i % 2 else f"text {i}") for i in range(4000)]
     rows += [(7, "twin")] * 3000 + [(None, None)] * 50

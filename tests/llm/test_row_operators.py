@@ -65,6 +65,69 @@ def test_host_consensus_overrules_one_page(spark, frame):
     assert found[10].text == "" and len(found) == 8
 
 
+PLAIN = "<p>%s plain words of an article, quite a few of them, and then some more of these.</p>"
+
+
+def paragraphs(name: str, n: int) -> str:
+    return "".join(PLAIN % f"{name} {i}" for i in range(n))
+
+
+def lines_of(name: str, n: int) -> list[str]:
+    return [re.sub("<[^>]*>", "", PLAIN % f"{name} {i}") for i in range(n)]
+
+
+@pytest.mark.parametrize("wrap", ("%s", "<div class=page>%s</div>"))
+def test_siblings_of_article_text_stay_together(wrap):
+    """A lead and a story are both the article, whichever host's winner is only one of them."""
+    html = "<body>" + wrap % f"<div class=lead>{paragraphs('lead', 3)}</div><div class=story>{paragraphs('story', 7)}</div>"
+    for winner in (None, ">html>body>div.other", ">body>div.lead", ">body>div.page>div.lead"):
+        text, _ = html_extract.extract(html, winner)
+        assert text.split("\n") == lines_of("lead", 3) + lines_of("story", 7)
+
+
+def test_a_headline_beside_the_body_belongs_to_it():
+    html = f"<body><div class=top><h1>The headline</h1></div><div class=body>{paragraphs('body', 4)}</div><div class=x><p>tiny</p>"
+    assert html_extract.extract(html, None)[0].split("\n") == ["The headline", *lines_of("body", 4)]
+    own = f"<body><h1>Site name</h1><div class=body><h1>The headline</h1>{paragraphs('body', 4)}</div>"
+    assert html_extract.extract(own, None)[0].split("\n") == ["The headline", *lines_of("body", 4)]
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [("<form id=aspnetForm>", "</form>"), ("<div class=shared-layout>", "</div>"), ("<div class=social-page>", "</div>"),
+     ("<div class=shareholder-letter>", "</div>"), ("<div class='promo promo-page'>", "</div>"), ("<div id=related>", "</div>")],
+)
+def test_wrappers_of_the_page_are_not_dropped(opening, closing):
+    inner = f"<nav><a href=x>menu menu menu</a></nav><div class=body>{paragraphs('body', 4)}</div><div class=share-bar>Share me</div>"
+    assert html_extract.extract(f"<body>{opening}{inner}{closing}</body>", None)[0].split("\n") == lines_of("body", 4)
+
+
+@pytest.mark.parametrize("junk", ("<form>%s</form>", "<div class=social>%s</div>", "<div class=comments>%s</div>", "<aside>%s</aside>"))
+def test_named_elements_beside_the_article_are_dropped(junk):
+    """Also where they hold most of the text; comments and asides even if little stands beside them."""
+    for n in (1, 30):
+        html = f"<body><div class=body>{paragraphs('body', 6)}</div>{junk % paragraphs('junk', n)}</body>"
+        assert html_extract.extract(html, None)[0].split("\n") == lines_of("body", 6)
+
+
+def test_votes_are_per_host_and_template(spark, frame):
+    """No page has an article element. One host, two templates; the vote decides on odd pages of each."""
+    teaser, more = "<div class=teasers>%s</div>", "<div class=teasers><p>short teaser, not very long</p></div>"
+    news = "<body><div class=text>" + paragraphs("news", 3) + "</div>%s</body>"
+    shop = "<body><div class=offer>" + paragraphs("offer", 4) + "</div></body>"
+    rows = [(i, f"https://h.org/{i}", news % more) for i in range(4)]
+    rows += [(4, "https://h.org/4", news % (teaser % paragraphs("teaser", 3)))]
+    rows += [(i, f"https://h.org/shop/{i}", shop) for i in range(5, 9)]
+    rows += [(9, "https://other.org/1", news % (teaser % paragraphs("teaser", 3)))]
+    pages = frame("page_id int, url string, html string", *rows)
+    found = {r.page_id: r.text.split("\n") for r in html_extract.main_text(pages, ("page_id",)).collect()}
+    for page in range(5):
+        assert found[page] == lines_of("news", 3)
+    for page in range(5, 9):
+        assert found[page] == lines_of("offer", 4)
+    assert found[9] == lines_of("news", 3) + lines_of("teaser", 3)  # nobody to agree with
+
+
 def test_extraction_of_the_table(spark, folder, rows_of):
     found = {r.page_id: r for r in QUERIES["op1_html_extraction"](spark, folder).collect()}
     for page_id, html in rows_of("pages", "page_id", "html"):
@@ -85,6 +148,36 @@ def slow_repeats(words):
     return len(covered)
 
 
+def test_estimated_accuracies_decide_over_single_votes(frame):
+    """Texts with one bad vote of a rule that errs on good texts stay; all-must-pass would drop them."""
+    rng = np.random.default_rng(6)
+    plain = "The plain words of this text are all here and it is good to read them. "
+    shout = "HERE IS WHAT WE ALL WANT TO SAY AND THE PEOPLE OF THE TOWN SAY IT TOO. "
+    rows = []
+    for i in range(300):
+        words = [plain.replace("plain", f"plain{rng.integers(999)} x{rng.integers(999)}") for _ in range(12)]
+        if i % 10 == 0:
+            words = [shout.replace("TOWN", f"TOWN{rng.integers(999)} Y{rng.integers(999)}") for _ in range(6)] + words[:3]
+        if i % 10 == 1:
+            words = [f"## {rng.integers(10**9)} $$ %% || << 77{rng.integers(10**6)} && " for _ in range(30)]
+        rows.append((i, "\n".join(words)))
+    judged = quality_rules.judge(frame("doc_id long, text string", *rows), ("doc_id",)).collect()
+    rules = [f"vote_{name}" for name in quality_rules.rules()]
+    passed = {r.doc_id for r in judged if not r.base_failed and all(r[rule] != -1 for rule in rules)}
+    kept = {r.doc_id for r in judged if r.kept}
+    past_base = {r.doc_id for r in judged if not r.base_failed}
+    assert passed < kept < past_base
+    differing = kept - passed
+    assert differing and differing <= set(range(0, 300, 10))
+    assert not kept & set(range(1, 300, 10))
+
+
+def test_carried_columns_of_own_names_give_way(frame):
+    documents = frame("doc_id long, text string, n_words string, _text string", (1, "some words here", "x", "y"))
+    row = quality_rules.judge(documents, ("doc_id", "n_words", "_text")).first()
+    assert (row.doc_id, row.n_words, row["_text"]) == (1, 3, "y")
+
+
 def test_base_features_by_brute_force(spark, folder, rows_of):
     found = {r.doc_id: r for r in QUERIES["op3_quality_rules"](spark, folder).collect()}
     for doc_id, text in rows_of("documents", "doc_id", "text"):
