@@ -100,10 +100,11 @@ def _feature_batches(batches):
 def measure(documents: DataFrame, carry: Sequence[str], text: str = "text") -> DataFrame:
     """The carried columns and ``FEATURES`` of every row; a carried column of a feature's name is left out."""
     carry = [c for c in carry if c not in FEATURES]
-    asked = documents.select(*carry, F.col(text).cast("string").alias("_text"))
+    own = [F.col(c).alias(f"_carried_{i}") for i, c in enumerate(carry)]
+    asked = documents.select(*own, F.col(text).cast("string").alias("_text"))
     kept = [f.simpleString().replace(":", " ", 1) for f in asked.schema.fields[:-1]]
     schema = ", ".join([*kept, *(f"{name} bigint" for name in FEATURES)])
-    return asked.mapInArrow(_feature_batches, schema)
+    return asked.mapInArrow(_feature_batches, schema).toDF(*carry, *FEATURES)
 
 
 def _share(part: str, whole: str) -> Column:
