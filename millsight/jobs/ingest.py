@@ -17,14 +17,13 @@ def main(arguments: list[str] | None = None) -> dict:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--source-path", required=True)
     parser.add_argument("--prefix", default="", help="prefix of the layer databases")
-    parser.add_argument("--table-format", default="parquet")
     parser.add_argument("--batch-id", default="")
     parser.add_argument("--first-date", type=date.fromisoformat, default=Horizon.first)
     parser.add_argument("--last-date", type=date.fromisoformat, default=Horizon.last)
     parser.add_argument("--incremental", action="store_true", help="use the streaming file source")
     options = parser.parse_args(arguments)
 
-    lake = Lake(build_session("millsight-ingest"), options.prefix, options.table_format)
+    lake = Lake(build_session("millsight-ingest"), options.prefix)
     horizon = Horizon(options.first_date, options.last_date)
     ingestion = Ingestion(lake, options.source_path, options.batch_id, horizon)
     print(json.dumps({"event": "ingestion_started", "batch_id": ingestion.batch_id}))

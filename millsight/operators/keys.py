@@ -13,24 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def key_profile(
-    frame: DataFrame,
-    keys: Sequence[str],
-    other: DataFrame | None = None,
-    other_keys: Sequence[str] | None = None,
-) -> DataFrame:
-    """One row per distinct key of ``frame``: its ``rows`` and whether ``other`` holds it too.
-
-    NULL members compare equal, as in GROUP BY. Both sides meet in one partial + final aggregation,
-    so neither a hot key nor a repeated parent multiplies anything.
-    """
-    mine = frame.selectExpr(*keys, "1 AS _mine", "FALSE AS _known")
-    if other is not None:
-        pairs = zip(other_keys or keys, keys, strict=True)
-        renamed = [f"{theirs} AS {key}" for theirs, key in pairs]
-        mine = mine.unionByName(other.selectExpr(*renamed, "0 AS _mine", "TRUE AS _known"))
-    rows = F.sum("_mine").cast("long").alias("rows")
-    return mine.groupBy(*keys).agg(rows, F.max("_known").alias("known")).filter("rows > 0")
+def key_profile(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per distinct key of ``frame`` and its ``rows``; NULL members compare equal."""
+    return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _same_key(members: Sequence[str], prefix: str) -> str:
@@ -41,22 +26,36 @@ def _renamed(keys: Sequence[str], prefix: str) -> list[str]:
     return [f"{key} AS {prefix}{i}" for i, key in enumerate(keys)]
 
 
+def held_keys(
+    profile: DataFrame,
+    keys: Sequence[str],
+    other: DataFrame,
+    other_keys: Sequence[str] | None = None,
+    held: bool = True,
+) -> DataFrame:
+    """The keys of a :func:`key_profile` that ``other`` holds, or with ``held=False`` those it lacks.
+
+    A semi- or anti-join on one row per key: a repeated key of ``other`` multiplies nothing, and Spark
+    may filter ``other`` by the keys' Bloom filter before it is shuffled. NULL members compare equal.
+    """
+    known = other.selectExpr(*_renamed(other_keys or keys, "_held_"))
+    match = F.expr(_same_key(keys, "_held_"))
+    return profile.join(known, match, "left_semi" if held else "left_anti")
+
+
 def flag_rows(
     frame: DataFrame,
-    profile: DataFrame,
+    flagged: DataFrame,
     keys: Sequence[str],
-    flag: str,
     name: str,
     on: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add boolean ``name`` to every row: the value of the profile's predicate ``flag`` for its key.
+    """Add boolean ``name`` to every row: TRUE where ``flagged``, one row per key, has its key.
 
-    ``profile`` is a :func:`key_profile` of the rows of ``frame``; ``on`` computes the key members
-    where ``frame`` has no columns of their names. Only the flagged keys, one row each, are joined
-    back. No broadcast is forced: where the keys are too many for one, the adaptive skew join splits
-    the rows of a hot key.
+    ``on`` computes the key members where ``frame`` has no columns of their names. No broadcast is
+    forced: where the keys are too many for one, the adaptive skew join splits the rows of a hot key.
     """
-    flagged = profile.filter(flag).selectExpr(*_renamed(keys, "_flagged_"), "TRUE AS _flag")
+    flagged = flagged.selectExpr(*_renamed(keys, "_flagged_"), "TRUE AS _flag")
     marked = frame.join(flagged, F.expr(_same_key(on or keys, "_flagged_")), "left")
     return marked.selectExpr(*frame.columns, f"coalesce(_flag, FALSE) AS {name}")
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millsight.contracts import Contract, Reference, Rule
+from millsight.contracts import Contract, Field, Reference, Rule
 
 RAW = "_raw_"
 
@@ -23,8 +23,7 @@ class Issue:
 
     @property
     def entry(self) -> str:
-        found = f"named_struct('code', {quoted(self.code)}, 'message', {quoted(self.message)})"
-        return f"CASE WHEN {self.failed} THEN {found} END"
+        return f"named_struct('code', {quoted(self.code)}, 'message', {quoted(self.message)})"
 
 
 def quoted(text: str) -> str:
@@ -48,11 +47,25 @@ def safe_casts(contract: Contract, available: Collection[str]) -> dict[str, str]
     return {
         field.name: f"try_cast(`{RAW}{field.name}` AS {field.sql_type})"
         if field.name in available
-        else f"CAST(NULL AS {field.sql_type})"
+        else typed_null(field)
         for field in contract.fields
     }
 
 
+def typed_null(field: Field) -> str:
+    return f"CAST(NULL AS {field.sql_type})"
+
+
+def absent_columns(contract: Contract, available: Collection[str]) -> list[str]:
+    return sorted(field.name for field in contract.fields if field.name not in available)
+
+
+def reconcile(frame: DataFrame, contract: Contract) -> DataFrame:
+    """The frame with the contract columns it lacks as typed NULLs, so that every check can read them."""
+    lost = [f for f in contract.fields if f.name not in frame.columns]
+    return frame.selectExpr("*", *[f"{typed_null(f)} AS `{f.name}`" for f in lost]) if lost else frame
+
+
 def raw_record(available: Collection[str]) -> str:
     """The source row as JSON, NULLs included."""
     members = ", ".join(f"{quoted(c)}, `{RAW}{c}`" for c in available)
@@ -95,20 +108,28 @@ def reference_issue(reference: Reference, unresolved: str) -> Issue:
     return Issue(f"({unresolved}{given})", "INVALID_FOREIGN_KEY", text)
 
 
-def any_of(issues: list[Issue]) -> str:
-    return "(" + " OR ".join(issue.failed for issue in issues) + ")"
+def violations(issues: list[Issue]) -> str:
+    """The issues of a row as one number, a bit each; zero if there are none."""
+    if len(issues) > 63:
+        raise ValueError("a contract may have 63 issues")
+    return " | ".join(f"IF({issue.failed}, {1 << bit}L, 0L)" for bit, issue in enumerate(issues))
 
 
-def entries(issues: list[Issue]) -> Column:
-    """Present issues in order, as an array of (code, message).
+def named_entries(issues: list[Issue], violated: str) -> Column:
+    """The issues of a :func:`violations` number in order, as an array of (code, message).
 
-    The list is assembled for failing rows only; the others are decided by plain comparisons.
+    The list is assembled for failing rows only.
     """
-    listed = ", ".join(issue.entry for issue in issues)
-    none = "CAST(array() AS ARRAY<STRUCT<code: STRING, message: STRING>>)"
-    return F.expr(
-        f"CASE WHEN {any_of(issues)} THEN array_compact(array({listed})) ELSE {none} END"
+    listed = ", ".join(
+        f"CASE WHEN {violated} & {1 << bit}L <> 0 THEN {issue.entry} END" for bit, issue in enumerate(issues)
     )
+    none = "CAST(array() AS ARRAY<STRUCT<code: STRING, message: STRING>>)"
+    return F.expr(f"CASE WHEN {violated} <> 0 THEN array_compact(array({listed})) ELSE {none} END")
+
+
+def entries(issues: list[Issue]) -> Column:
+    """Present issues in order, as an array of (code, message)."""
+    return named_entries(issues, f"({violations(issues)})")
 
 
 def issue_text(issues: str) -> tuple[Column, Column]:

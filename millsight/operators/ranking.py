@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millsight.functions.metrics import ratio
+from millsight.operators.ordering import with_dense_rank
 
 
 def share_within(frame: DataFrame, measure: str, scope: Sequence[str], name: str) -> DataFrame:
@@ -20,28 +21,9 @@ def share_within(frame: DataFrame, measure: str, scope: Sequence[str], name: str
     return frame.withColumn(name, ratio(F.col(measure), total))
 
 
-def _magnitude(value: Column) -> Column:
-    """An order-preserving bucket of a number: about a thousand buckets per power of two."""
-    return F.signum(value) * F.floor(F.log2(F.abs(value) + F.lit(1.0)) * F.lit(1024.0))
-
-
 def dense_rank_all(frame: DataFrame, measure: str, name: str) -> DataFrame:
-    """Dense rank of every row over the whole frame, largest ``measure`` first.
-
-    A window without a partition would send the frame to one task. Here the distinct values are
-    ranked inside order-preserving buckets; only the bucket sizes (at most some 130,000 rows,
-    whatever the data) are ranked globally.
-    """
-    values = frame.select(F.col(measure).alias("_value")).distinct().filter("_value IS NOT NULL")
-    values = values.withColumn("_bucket", _magnitude(F.col("_value").cast("double")).cast("long"))
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = values.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.select("_bucket", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_above"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.desc("_value")))
-    ranks = values.withColumn("_inside", inside).join(sizes, "_bucket")
-    ranks = ranks.select("_value", (F.col("_above") + F.col("_inside")).cast("int").alias(name))
-    ranked = frame.join(ranks, F.col(measure) == F.col("_value"), "left")
-    return ranked.select(*frame.columns, name)
+    """Dense rank of every row over the whole frame, largest ``measure`` first."""
+    return with_dense_rank(frame, measure, name)
 
 
 def ranked_contribution(
@@ -57,12 +39,16 @@ def leading_contributors(
 ) -> DataFrame:
     """The groups of the first ``ranks`` dense ranks: a top-k report.
 
-    The rank limit is pushed below the shuffle (``WindowGroupLimit``), so only the leading groups of
-    each partition meet in the final task.
+    Every task keeps its ``ranks`` largest distinct totals, these meet as one short list, and the groups
+    find their total in it where they are: groups of equal totals, however many, never meet.
     """
     totals = frame.groupBy(*by).agg(F.sum(measure).alias(measure))
-    order = Window.orderBy(F.col(measure).desc_nulls_last())
-    return totals.withColumn(name, F.dense_rank().over(order)).filter(F.col(name) <= ranks)
+    largest = totals.select(F.col(measure).alias("_total")).distinct()
+    largest = largest.filter("_total IS NOT NULL").orderBy(F.desc("_total")).limit(ranks)
+    top = largest.agg(F.sort_array(F.collect_list("_total"), asc=False)).scalar()
+    place = F.array_position(top, F.col(measure)).cast("int")
+    place = F.when(F.col(measure).isNull(), F.size(top) + 1).otherwise(place)
+    return totals.withColumn(name, place).filter((F.col(name) > 0) & (F.col(name) <= ranks))
 
 
 def rank_of(frame: DataFrame, by: Sequence[str], measure: str, entity: dict[str, str]) -> DataFrame:
@@ -74,7 +60,12 @@ def rank_of(frame: DataFrame, by: Sequence[str], measure: str, entity: dict[str,
     match = F.lit(True)
     for column, value in entity.items():
         match = match & (F.col(column) == F.lit(value))
-    own = totals.filter(match).agg(F.max("_total")).scalar()
+    return rank_among(totals.withColumn("_own", match))
+
+
+def rank_among(totals: DataFrame) -> DataFrame:
+    """One row: the dense rank of the group marked ``_own`` among groups of a ``_total`` each."""
+    own = totals.filter("_own").agg(F.max("_total")).scalar()
     larger = F.count_if(F.col("_total") > own)
     rank = F.when(own.isNull(), F.lit(999)).otherwise(larger + 1).cast("long")
     return totals.select("_total").distinct().agg(rank.alias("contribution_rank"))

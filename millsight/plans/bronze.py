@@ -14,37 +14,46 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millsight.contracts import LINEAGE, LOAD_ORDER, Contract, Horizon, contracts
+from millsight.contracts import LINEAGE, LOAD_ORDER, Contract, Horizon, Reference, contracts
 from millsight.operators.keys import (
     flag_rows,
     flag_unresolved,
+    held_keys,
     key_profile,
     unseen_files,
 )
 from millsight.operators.quality import (
     Issue,
-    any_of,
     column_issues,
     duplicate_issue,
-    entries,
     hold_raw,
     issue_text,
+    named_entries,
+    quoted,
     raw_record,
     reference_issue,
     rule_issues,
     safe_casts,
+    violations,
 )
 from millsight.session import remove_folder, work_folder
 from millsight.sources.catalog import Lake
+from millsight.sources.key_index import KeyIndex
 from millsight.sources.landing import list_files, scan_new_files
 
 Settle = Callable[[DataFrame, str], DataFrame]
+#: Accepted rows, or what finds those of them that may hold one of the given keys.
+Held = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 def _as_is(frame: DataFrame, name: str) -> DataFrame:
     return frame
 
 
+def _held(held: Held, profile: DataFrame) -> DataFrame:
+    return held if isinstance(held, DataFrame) else held(profile)
+
+
 def type_batch(raw: DataFrame, contract: Contract) -> DataFrame:
     """Contract columns cast safely, next to the untouched source columns."""
     held = hold_raw(raw)
@@ -55,8 +64,8 @@ def type_batch(raw: DataFrame, contract: Contract) -> DataFrame:
 def check_batch(
     raw: DataFrame,
     contract: Contract,
-    stored: DataFrame | None = None,
-    parents: Mapping[str, DataFrame] | None = None,
+    stored: Held | None = None,
+    parents: Mapping[str, Held] | None = None,
     settle: Settle = _as_is,
 ) -> DataFrame:
     """Typed rows with all their violations.
@@ -66,18 +75,22 @@ def check_batch(
     taken before any cast and with its NULLs.
 
     ``stored`` holds accepted rows of earlier batches; ``parents`` the accepted parent rows by table
-    name (references to other tables are skipped). ``settle`` may write a small intermediate
-    relation and read it back: its measured size then lets Spark broadcast it, and the wide rows
-    pass from the scan to the output without a shuffle.
+    name (references to other tables are skipped). Either may be a function that takes the batch's
+    distinct keys and returns the rows that may hold them, so that the cost follows the batch.
+    ``settle`` may write a small intermediate relation and read it back: its measured size then lets
+    Spark broadcast it, and the wide rows pass from the scan to the output without a shuffle.
     """
     casts = safe_casts(contract, raw.columns)
     typed = type_batch(raw, contract)
 
-    repeated = "(rows > 1 OR known)"
-    profile = key_profile(typed, contract.key, stored)
-    profile = settle(profile.filter(repeated), "duplicate_keys")
+    profile = settle(key_profile(typed, contract.key), "keys")
+    repeated = profile.filter("rows > 1")
+    if stored is not None:
+        single = profile.filter("rows = 1")
+        repeated = repeated.unionByName(held_keys(single, contract.key, _held(stored, profile)))
+    repeated = settle(repeated, "duplicate_keys")
     on = [casts[column] for column in contract.key]
-    checked = flag_rows(hold_raw(raw), profile, contract.key, repeated, "_duplicate", on)
+    checked = flag_rows(hold_raw(raw), repeated, contract.key, "_duplicate", on)
 
     parents = parents or {}
     references = [r for r in contract.references if r.parent in parents]
@@ -87,10 +100,12 @@ def check_batch(
         flag = f"_unresolved_{number}"
         on = [casts[column] for column in reference.columns]
         if reference.large_parent:
-            profile = key_profile(typed, reference.columns, parent, reference.parent_columns)
-            profile = profile.filter("NOT known")
-            profile = settle(profile, f"reference_{number}")
-            checked = flag_rows(checked, profile, reference.columns, "NOT known", flag, on)
+            profile = settle(key_profile(typed, reference.columns), f"reference_keys_{number}")
+            named = profile.toDF(*reference.parent_columns, "rows")
+            known = _held(parent, named)
+            lost = held_keys(profile, reference.columns, known, reference.parent_columns, held=False)
+            lost = settle(lost, f"reference_{number}")
+            checked = flag_rows(checked, lost, reference.columns, flag, on)
         else:
             checked = flag_unresolved(checked, on, parent, reference.parent_columns, flag)
         unresolved.append(reference_issue(reference, flag))
@@ -101,15 +116,17 @@ def check_batch(
         duplicate_issue(contract, "_duplicate"),
         *unresolved,
     ]
-    cast_all = [f"{cast} AS `{name}`" for name, cast in casts.items()]
-    checked = checked.selectExpr(*checked.columns, *cast_all)
-    checked = checked.selectExpr("*", f"NOT {any_of(issues)} AS _accepted")
-    record = F.expr(f"CASE WHEN NOT _accepted THEN {raw_record(raw.columns)} END")
+    # A generator of one row: filters on the casts stay above it, so each value is cast once a row
+    # however many rules read it.
+    cast_all = ", ".join(f"{quoted(name)}, {cast}" for name, cast in casts.items())
+    checked = checked.selectExpr("*", f"inline(array(named_struct({cast_all})))")
+    checked = checked.selectExpr("*", f"{violations(issues)} AS _violated")
+    record = F.expr(f"CASE WHEN _violated <> 0 THEN {raw_record(raw.columns)} END")
     return checked.select(
         *contract.columns,
         "_source_file",
-        entries(issues).alias("_errors"),
-        "_accepted",
+        named_entries(issues, "_violated").alias("_errors"),
+        (F.col("_violated") == 0).alias("_accepted"),
         record.alias("_original_record"),
     )
 
@@ -148,9 +165,14 @@ class Ingestion:
     """Loads new files of every table, parents first.
 
     Per table: scan, check once, stage the checked rows in the shared work folder, then write
-    quarantine, Bronze and audit from the staged copy. The audit rows come last and are the commit:
-    Bronze and quarantine are partitioned by batch, rows of a batch without audit do not count as
-    stored and are dropped by the next run, so a run that died half-way can simply be repeated.
+    quarantine, Bronze and audit from the staged copy. An attempt is entered in the log before its
+    first write and struck out after its last one; its audit rows are the commit. The next run finds
+    the attempts that never ended in the log: it drops the partitions of those without audit and
+    finishes the key index of the others, so a run that died anywhere can simply be repeated, and no
+    run looks at batches that ended.
+
+    Keys of committed fact rows are kept in a :class:`KeyIndex`: duplicate and parent checks read the
+    months and slices a batch touches, not the history.
     """
 
     lake: Lake
@@ -184,15 +206,17 @@ class Ingestion:
         contract = self.contracts[name]
         target = self.lake.name("bronze", name)
         self.lake.create(target, contract.ddl, ("_batch_id",))
-        committed = self._drop_uncommitted(name, target)
+        self.recover(name)
         if raw is not None:
             raw = unseen_files(raw, self.spark.table(self.lake.audit), name)
         if raw is None or raw.isEmpty():
             return {"source": 0, "valid": 0, "quarantined": 0, "skipped": 1}
-        if self.batch_id in committed:
+        if self._is_committed(name, self.batch_id):
             raise ValueError(f"batch id {self.batch_id} was used for {name} already")
 
-        parents = {r.parent: self.lake.table("bronze", r.parent) for r in contract.references}
+        parents = {r.parent: self._parent(r) for r in contract.references}
+        stored = self._stored(name)
+        self.lake.begin(name, self.batch_id)
         # A folder of this attempt alone: another attempt or another lake may use the same batch id.
         stage = f"{work_folder(self.spark)}/ingest/{self.batch_id}/{name}-{uuid4().hex}"
 
@@ -200,9 +224,7 @@ class Ingestion:
             frame.write.parquet(f"{stage}/{part}")
             return self.spark.read.schema(frame.schema).parquet(f"{stage}/{part}")
 
-        checked = check_batch(
-            raw, contract, self.spark.table(target), parents, settle
-        ).withColumn("_ingested_at", F.current_timestamp())
+        checked = check_batch(raw, contract, stored, parents, settle).withColumn("_ingested_at", F.current_timestamp())
         checked.write.parquet(f"{stage}/checked")
         staged = self.spark.read.schema(checked.schema).parquet(f"{stage}/checked")
 
@@ -217,22 +239,53 @@ class Ingestion:
         audit = file_audit(staged, contract)
         audit = audit.select("*", batch.alias("batch_id"), F.current_timestamp().alias("processed_at"))
         self.lake.append(audit, self.lake.audit)
+        for index in self.indexes(name):
+            index.add(accepted)
+        self.lake.end(name, self.batch_id)
 
         counts = staged.agg(F.count(F.lit(1)), F.count_if("_accepted")).first()
         remove_folder(self.spark, stage)
         source, valid = counts[0], counts[1]
         return {"source": source, "valid": valid, "quarantined": source - valid, "skipped": 0}
 
-    def _drop_uncommitted(self, name: str, target: str) -> set[str]:
-        """Drop partitions of batches that never reached the audit; return those that did."""
-        audit = self.spark.table(self.lake.audit).filter(F.col("table_name") == name)
-        done = {row.batch_id for row in audit.select("batch_id").distinct().collect()}
-        for table, partition in ((target, ""), (self.lake.quarantine, f"table_name='{name}', ")):
-            wanted = f" PARTITION (table_name='{name}')" if partition else ""
-            for row in self.spark.sql(f"SHOW PARTITIONS {table}{wanted}").collect():
-                batch = row.partition.rpartition("_batch_id=")[2]
-                if batch not in done:
+    def indexes(self, name: str) -> list[KeyIndex]:
+        """Of a fact table: its key and the columns that other tables refer to."""
+        if not name.startswith("fact_"):
+            return []
+        wanted = [self.contracts[name].key]
+        for contract in self.contracts.values():
+            for reference in contract.references:
+                if reference.large_parent and reference.parent == name:
+                    wanted.append(reference.parent_columns)
+        contract = self.contracts[name]
+        return [KeyIndex(self.lake, contract, columns, self.horizon) for columns in dict.fromkeys(wanted)]
+
+    def _stored(self, name: str) -> Held:
+        found = self.indexes(name)
+        return found[0].near if found else self.lake.table("bronze", name)
+
+    def _parent(self, reference: Reference) -> Held:
+        for index in self.indexes(reference.parent):
+            if reference.large_parent and index.columns == reference.parent_columns:
+                return index.near
+        return self.lake.table("bronze", reference.parent)
+
+    def _is_committed(self, name: str, batch_id: str) -> bool:
+        done = (F.col("table_name") == name) & (F.col("batch_id") == batch_id)
+        return not self.spark.table(self.lake.audit).filter(done).isEmpty()
+
+    def recover(self, name: str) -> None:
+        """Settle the attempts at one table that the log has as not ended."""
+        target = self.lake.name("bronze", name)
+        for index in self.indexes(name):
+            index.prepare(self.spark.table(target))
+        for batch in self.lake.open_attempts(name):
+            if self._is_committed(name, batch):
+                for index in self.indexes(name):
+                    index.add(self.spark.table(target).filter(F.col("_batch_id") == batch))
+            else:
+                for table, also in ((target, ""), (self.lake.quarantine, f"table_name='{name}', ")):
                     self.spark.sql(
-                        f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition}_batch_id='{batch}')"
+                        f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({also}_batch_id='{batch}')"
                     )
-        return done
+            self.lake.end(name, batch)

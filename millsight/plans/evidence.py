@@ -12,11 +12,36 @@ from pyspark.sql import functions as F
 
 from millsight.functions.calendar import Period, month_of
 from millsight.functions.metrics import METRICS, metrics_at, ratio
+from millsight.operators.ordering import with_position
 from millsight.operators.ranking import lead_over_runner_up
 
 FPY_SUMS = ("pass_quantity", "fail_quantity")
 
 
+#: Report order by evidence: the column that leads, and whether its largest value comes first. Ties
+#: follow the remaining columns.
+REPORT_ORDER = {
+    "quarantine_profile": (("table_name", False), ("records", True)),
+    "supplier_component_defects": (("defective_units", True),),
+    "line_defects": (("defect_quantity", True),),
+    "line_trend": (("production_date", False), ("line_id", False)),
+    "component_lots": (("event_quantity", True),),
+    "mix_detail": (("production_date", False), ("product_id", False)),
+}
+
+
+def in_report_order(frame: DataFrame, evidence: str) -> DataFrame:
+    """The evidence with ``position``, its row's place in the report, from 1.
+
+    The place is a column, as rows of a stored or shuffled frame have no order. NULLs come last where
+    the largest value leads, first elsewhere.
+    """
+    lead = REPORT_ORDER[evidence]
+    rest = [c for c in frame.columns if c not in dict(lead)]
+    order = [F.col(c).desc_nulls_last() if largest else F.col(c).asc_nulls_first() for c, largest in lead]
+    return with_position(frame, [*order, *[F.col(c).asc_nulls_first() for c in rest]])
+
+
 def only(frame: DataFrame, scope: Mapping[str, object]) -> DataFrame:
     """Rows whose columns equal the scope's values."""
     for column, value in scope.items():

@@ -182,4 +182,5 @@ def build_gold(lake: Lake, iso_year: bool = False) -> None:
         # Only the daily model carries a refresh time; the others hold business columns alone.
         if name == "gold_manufacturing_daily":
             frame = frame.withColumn("_gold_updated_at", F.current_timestamp())
-        lake.publish(frame, lake.name("gold", name))
+        day = "production_date" if "production_date" in frame.columns else "event_date"
+        lake.publish(frame, lake.name("gold", name), day)

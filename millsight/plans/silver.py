@@ -161,7 +161,8 @@ def build_silver(lake: Lake, normalize_first: bool = True) -> None:
 
     def publish(table: str, frame: DataFrame) -> DataFrame:
         stamped = frame.withColumn("_silver_updated_at", F.current_timestamp())
-        return lake.publish(stamped, lake.name("silver", f"silver_{table}"))
+        day = {"fact_production": "production_date", "fact_quality_event": "event_date"}.get(table)
+        return lake.publish(stamped, lake.name("silver", f"silver_{table}"), day)
 
     dims: dict[str, DataFrame] = {}
     for table in DIMENSIONS:

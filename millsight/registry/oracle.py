@@ -617,50 +617,59 @@ def _rank(source: str, by: str, measure: str, entity: str, where: str) -> str:
         FROM (SELECT {by}, SUM({measure}) AS total FROM {source} WHERE {where} GROUP BY {by})) WHERE {entity}"""
 
 
+def _rate_text(rate: str) -> str:
+    return f"CAST(CAST({rate} AS DECIMAL(18, 9)) AS VARCHAR)"
+
+
 def _acceptance() -> str:
-    def row(name: str, passed: str, actual: str, expected: str, source: str = "(SELECT 1) one") -> str:
+    def row(name: str, passed: str, actual: str, expected: str, detail: str, source: str = "(SELECT 1) one") -> str:
         return (
             f"SELECT '{name}' AS check_name, CASE WHEN {passed} THEN 'PASS' ELSE 'FAIL' END AS status,"
-            f" CAST({actual} AS VARCHAR) AS actual, '{expected}' AS expected FROM {source}"
+            f" coalesce(CAST({actual} AS VARCHAR), 'NULL') AS actual, '{expected}' AS expected,"
+            f" '{detail}' AS detail FROM {source}"
         )
 
-    def rank(name: str, text: str) -> str:
-        return row(name, "r <= 3", "r", "<= 3", f"({text.replace('coalesce(MAX(r), 999)', 'coalesce(MAX(r), 999) AS r', 1)})")
-
+    def rank(name: str, source: str, entity: dict[str, str], measure: str, when: str) -> str:
+        own = " AND ".join(f"{column} = '{value}'" for column, value in entity.items())
+        text = _rank(source, ", ".join(entity), measure, own, f"event_date {when}")
+        text = text.replace("coalesce(MAX(r), 999)", "coalesce(MAX(r), 999) AS r", 1)
+        detail = f"{' + '.join(entity.values())} is a leading contribution"
+        return row(name, "r <= 3", "r", "<= 3", detail, f"({text})")
+
+    shown = ", ".join(
+        f"'{when}_{label}=' || {_rate_text(f'{when}_{column}')}"
+        for label, column in (("rework", "rework_rate"), ("fpy", "fpy"))
+        for when in ("early", "late")
+    )
     return " UNION ALL ".join(
         [
-            row("gold_table_inventory", "TRUE", "5", "5"),
+            row("gold_table_inventory", "TRUE", "5", "5", "the governed Gold sources exist"),
             f"""SELECT 'row_count_' || table_name, status, CAST(actual_rows AS VARCHAR),
-                CAST(expected_rows AS VARCHAR) FROM ({GOLD_COUNTS})""",
-            row("governed_metric_formulas", "TRUE", "0", "0"),
-            rank(
-                "incident_a_supplier_power_module",
-                _rank("gold_supplier", "supplier_id, component_id", "defective_units",
-                      "supplier_id = 'SUP-3' AND component_id = 'COMP-1'", f"event_date {YEAR}"),
-            ),
-            rank(
-                "incident_b_mexico_line2_voltage",
-                _rank("gold_pareto", "factory_id, line_id, defect_id", "defect_quantity",
-                      "factory_id = 'FAC-2' AND line_id = 'LINE-7' AND defect_id = 'DEF-4'",
-                      f"event_date {QUARTER}"),
-            ),
-            row("incident_c_ramp_line_improves", "improves", "'rate'",
+                CAST(expected_rows AS VARCHAR), 'Gold row count' FROM ({GOLD_COUNTS})""",
+            row("governed_metric_formulas", "TRUE", "0", "0",
+                "rows whose stored rate differs from its numerator and denominator"),
+            rank("incident_a_supplier_power_module", "gold_supplier",
+                 {"supplier_id": "SUP-3", "component_id": "COMP-1"}, "defective_units", YEAR),
+            rank("incident_b_mexico_line2_voltage", "gold_pareto",
+                 {"factory_id": "FAC-2", "line_id": "LINE-7", "defect_id": "DEF-4"}, "defect_quantity", QUARTER),
+            row("incident_c_ramp_line_improves", "improves", f"concat_ws(', ', {shown})",
                 "early rework > late rework and early FPY < late FPY",
+                "the ramp line improves over the learning period",
                 f"({_curve(chr(102) + 'actory_id = ' + chr(39) + 'FAC-4' + chr(39) + ' AND line_id = ' + chr(39) + 'LINE-9' + chr(39))})"),
-            rank(
-                "incident_d_localized_memory_failure",
-                _rank("gold_pareto", "factory_id, product_id, defect_id", "defect_quantity",
-                      "factory_id = 'FAC-404' AND product_id = 'PROD-1' AND defect_id = 'DEF-3'",
-                      f"event_date {QUARTER}"),
-            ),
-            row("incident_e_aggregate_fpy_declines", "post < pre", "'rate'", "after < before",
+            rank("incident_d_localized_memory_failure", "gold_pareto",
+                 {"factory_id": "FAC-3", "product_id": "PROD-1", "component_id": "COMP-2",
+                  "supplier_id": "SUP-3", "defect_id": "DEF-3"}, "defect_quantity", QUARTER),
+            row("incident_e_aggregate_fpy_declines", "post < pre",
+                f"concat_ws(', ', 'before=' || {_rate_text('pre')}, 'after=' || {_rate_text('post')})",
+                "after < before", "aggregate FPY declines after the mix shift",
                 f"""(SELECT {_period_fpy(EARLIER)} AS pre, {_period_fpy(YEAR)} AS post FROM gold_factory
                 WHERE factory_id = 'FAC-2')"""),
-            row("incident_e_product_fpy_stable", "m < 0.035", "'rate'", "< 0.035",
+            row("incident_e_product_fpy_stable", "m < 0.035", _rate_text("m"), "< 0.035",
+                "mean absolute within-product FPY change stays within the tolerance",
                 f"(SELECT AVG(abs(change)) AS m FROM ({PRODUCT_CHANGE}))"),
             row("incident_e_product_mix_shift", "fa < fb AND ra > rb",
                 "'PROD-1 ' || fb || ' -> ' || fa || '; PROD-2 ' || rb || ' -> ' || ra",
-                "PROD-1 decreases and PROD-2 increases",
+                "PROD-1 decreases and PROD-2 increases", "the volume shift explains the aggregate change",
                 f"""(SELECT MAX(CASE WHEN product_id = 'PROD-1' THEN volume_before END) AS fb,
                 MAX(CASE WHEN product_id = 'PROD-1' THEN volume_after END) AS fa,
                 MAX(CASE WHEN product_id = 'PROD-2' THEN volume_before END) AS rb,
@@ -669,37 +678,42 @@ def _acceptance() -> str:
     )
 
 
-def _validation() -> str:
+def _validation(drift: bool = False) -> str:
+    """The structural checks; with drift, of fact tables that lack three columns."""
     parts = []
-    for name, source, missing in (
-        ("fact_production", "bronze_production", 0),
-        ("fact_quality_event", "bronze_events", 0),
-    ):
+    production, events, lost = "bronze_production", "bronze_events", {}
+    if drift:
+        production = ("(SELECT * REPLACE (CAST(NULL AS VARCHAR) AS line_id, CAST(NULL AS BIGINT) AS scrap_qty)"
+                      " FROM bronze_production)")
+        events = "(SELECT * REPLACE (CAST(NULL AS BIGINT) AS event_quantity) FROM bronze_events)"
+        lost = {"fact_production": ["line_id", "scrap_qty"], "fact_quality_event": ["event_quantity"]}
+    for name, source in (("fact_production", production), ("fact_quality_event", events)):
+        named = f": {lost[name]}".replace("'", "''") if lost else ""
         parts.append((f"{name} is empty", f"CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END FROM {source}"))
-        parts.append((f"{name} missing columns", f"{missing}"))
+        parts.append((f"{name} missing columns{named}", f"{len(lost.get(name, []))}"))
     for table, columns in DIM_COLUMNS.items():
         key = columns.split()[0]
         parts.append((f"{table}.{key} is not unique", f"COUNT(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING COUNT(*) > 1)"))
     parts.append(("fact_production natural key is not unique",
-                  f"COUNT(*) FROM (SELECT {GRAIN} FROM bronze_production GROUP BY {GRAIN} HAVING COUNT(*) > 1)"))
+                  f"COUNT(*) FROM (SELECT {GRAIN} FROM {production} GROUP BY {GRAIN} HAVING COUNT(*) > 1)"))
     parts.append(("fact_quality_event.quality_event_id is not unique",
-                  "COUNT(*) FROM (SELECT quality_event_id FROM bronze_events GROUP BY ALL HAVING COUNT(*) > 1)"))
+                  f"COUNT(*) FROM (SELECT quality_event_id FROM {events} GROUP BY ALL HAVING COUNT(*) > 1)"))
     for message, wrong in {
         "production date outside configured range": f"production_date NOT {HORIZON}",
-        "production quantities must be non-negative integers": "least(production_qty, pass_qty, fail_qty, rework_qty, scrap_qty) < 0",
+        "production quantities must be non-negative integers": "production_qty < 0 OR pass_qty < 0 OR fail_qty < 0 OR rework_qty < 0 OR scrap_qty < 0",
         "pass_qty + fail_qty must equal production_qty": "pass_qty + fail_qty <> production_qty",
         "first-pass quantities exceed started_qty": "first_pass_pass_qty + fail_qty > started_qty",
         "rework/scrap exceeds fail_qty": "rework_qty > fail_qty OR scrap_qty > fail_qty",
         **{f"production foreign key {c} is invalid": f"{c} NOT IN (SELECT {c} FROM {d})" for c, d in PRODUCTION_FKS},
     }.items():
-        parts.append((message, f"COUNT(*) FROM bronze_production WHERE {wrong}"))
+        parts.append((message, f"COUNT(*) FROM {production} WHERE ({wrong}) IS NOT FALSE"))
     for message, wrong in {
         "quality event quantity/stage is invalid": "event_quantity <= 0 OR inspection_stage NOT IN ('incoming', 'in_process', 'final', 'test')",
         "quality event date outside configured range": f"event_date NOT {HORIZON}",
         "quality event has orphan production lot": "production_lot_id NOT IN (SELECT production_lot_id FROM bronze_production)",
         **{f"quality event has invalid {c}": f"{c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {d})" for c, d in EVENT_FKS[1:]},
     }.items():
-        parts.append((message, f"COUNT(*) FROM bronze_events WHERE {wrong}"))
+        parts.append((message, f"COUNT(*) FROM {events} WHERE ({wrong}) IS NOT FALSE"))
     return " UNION ALL ".join(
         f"SELECT '{message}' AS message, CAST(v AS BIGINT) AS violations FROM (SELECT {text.replace(' FROM ', ' AS v FROM ', 1) if ' FROM ' in text else text + ' AS v'})"
         for message, text in parts
@@ -952,6 +966,40 @@ _BODIES: dict[str, str] = {
         for table in ("region", "nation", "supplier", "part", "orders", "lineitem")
     ),
 }
+
+
+def _in_order(body: str, *order: str) -> str:
+    places = ", ".join(o if " DESC" in o else f"{o} NULLS FIRST" for o in order)
+    return f"SELECT *, row_number() OVER (ORDER BY {places}) AS position FROM ({body})"
+
+
+_BODIES |= {
+    "ordered_quarantine_profile": _in_order(
+        """SELECT 'fact_quality_event' AS table_name, codes AS _error_code, COUNT(*) AS records
+        FROM checked_events WHERE codes <> '' GROUP BY codes""",
+        "table_name", "records DESC NULLS LAST", "_error_code"),
+    "ordered_supplier_component": _in_order(
+        _BODIES["incident_supplier_component"],
+        "defective_units DESC NULLS LAST", "supplier_id", "component_id", "defect_rate"),
+    "ordered_line_defect": _in_order(
+        _BODIES["incident_line_defect"],
+        "defect_quantity DESC NULLS LAST", "factory_id", "line_id", "defect_id"),
+    "ordered_line_trend": _in_order(
+        _BODIES["incident_line_trend"], "production_date", "line_id", "factory_id", "rework_rate", "fpy"),
+    "ordered_component_lot": _in_order(
+        _BODIES["incident_component_lot"],
+        "event_quantity DESC NULLS LAST", "component_lot_id", "supplier_id", "component_id"),
+    "ordered_mix_detail": _in_order(
+        _BODIES["mix_detail"], "production_date", "product_id", "factory_id", "production_quantity", "fpy",
+        "product_mix_share"),
+    "dataset_validation_drift": _validation(drift=True),
+    "stored_keys_by_month": f"""SELECT strftime(production_date, '%Y-%m') AS month, COUNT(*) AS n_keys,
+        CAST(SUM(copies) AS BIGINT) AS n_rows FROM (
+        SELECT DISTINCT {GRAIN}, copies FROM counted_production
+        WHERE stored AND production_date < DATE '1996-01-01') GROUP BY 1""",
+    "table_inventory": """SELECT 'landing' AS table_schema, table_name FROM information_schema.tables
+        WHERE table_schema = 'main' AND table_type = 'VIEW'""",
+}
 CTES["gold_factory_day"] = f"""SELECT factory_id, production_date, {sums(GOLD_SUMS[1:3])} FROM daily
     GROUP BY factory_id, production_date"""
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,6 +58,14 @@ def work_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the work folder: computed once, however many plans read it."""
+    spark = frame.sparkSession
+    path = f"{work_folder(spark)}/{label}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a staged folder wherever it is stored."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

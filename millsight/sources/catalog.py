@@ -1,16 +1,24 @@
-"""Catalog tables: bootstrap, append, full-refresh publish, inventory."""
+"""Catalog tables: bootstrap, append, versioned publish, inventory."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millsight.functions.calendar import Period
+
+#: The month a published row belongs to, and what follows a published name in that of a version.
+MONTH, VERSION = "_month", "__v"
+
 AUDIT_DDL = (
     "table_name STRING, source_file STRING, batch_id STRING, source_rows BIGINT, "
     "valid_rows BIGINT, quarantined_rows BIGINT, status STRING, processed_at TIMESTAMP"
 )
+ATTEMPTS_DDL = "started_at TIMESTAMP, table_name STRING, batch_id STRING"
 QUARANTINE_DDL = (
     "original_record STRING, _source_file STRING, _error_code STRING, _error_message STRING, "
     "_quarantined_at TIMESTAMP, table_name STRING, _batch_id STRING"
@@ -19,15 +27,13 @@ QUARANTINE_DDL = (
 
 @dataclass(frozen=True)
 class Lake:
-    """Names of the layer databases and the storage format of their tables.
+    """Names of the layer databases; ``prefix`` separates several lakes of one catalog.
 
-    ``prefix`` separates several lakes of one catalog. The format is Parquet unless the session
-    has another table format, such as Delta, on its classpath.
+    Tables are Parquet: partitions are replaced by partition, published tables by version.
     """
 
     spark: SparkSession
     prefix: str = ""
-    table_format: str = "parquet"
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.prefix}{layer}.{table}"
@@ -36,12 +42,16 @@ class Lake:
     def audit(self) -> str:
         return self.name("bronze", "_ingestion_files")
 
+    @property
+    def attempts(self) -> str:
+        return self.name("bronze", "_ingestion_attempts")
+
     @property
     def quarantine(self) -> str:
         return self.name("quarantine", "invalid_records")
 
     def table(self, layer: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(layer, table))
+        return self.spark.table(self.name(layer, table)).drop(MONTH)
 
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(name)
@@ -50,15 +60,32 @@ class Lake:
         """Create an empty typed table unless it exists."""
         columns = ", ".join(f"`{column}`" for column in partitioned_by)
         by = f" PARTITIONED BY ({columns})" if columns else ""
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING {self.table_format}{by}")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{by}")
 
     def bootstrap(self) -> None:
-        """Databases of the four layers, the file audit and the quarantine table."""
+        """Databases of the four layers, the file audit, the attempt log and the quarantine table."""
         for layer in ("bronze", "quarantine", "silver", "gold"):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
         self.create(self.audit, AUDIT_DDL)
+        self.create(self.attempts, ATTEMPTS_DDL, ("table_name", "batch_id"))
         self.create(self.quarantine, QUARANTINE_DDL, ("table_name", "_batch_id"))
 
+    def _attempt(self, table: str, batch: str) -> str:
+        return f"PARTITION (table_name='{table}', batch_id='{batch}')"
+
+    def begin(self, table: str, batch: str) -> None:
+        """Enter an attempt in the log: one partition entry, atomic in the catalog."""
+        self.spark.sql(f"ALTER TABLE {self.attempts} ADD IF NOT EXISTS {self._attempt(table, batch)}")
+
+    def end(self, table: str, batch: str) -> None:
+        """Strike an attempt out of the log."""
+        self.spark.sql(f"ALTER TABLE {self.attempts} DROP IF EXISTS {self._attempt(table, batch)}")
+
+    def open_attempts(self, table: str) -> list[str]:
+        """Batches that began and never ended: those of runs that died, however long the history."""
+        found = self.spark.sql(f"SHOW PARTITIONS {self.attempts} PARTITION (table_name='{table}')")
+        return [row.partition.rpartition("batch_id=")[2] for row in found.collect()]
+
     def replace_partitions(self, frame: DataFrame, name: str) -> None:
         """Write the partitions present in ``frame``, replacing earlier copies of just those.
 
@@ -72,35 +99,54 @@ class Lake:
             (f.name, f.dataType) for f in found
         ]:
             raise ValueError(f"schema of {name} does not accept {frame.schema.simpleString()}")
-        writer = frame.select(*target.fieldNames()).write
-        if self.table_format == "parquet":
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = frame.select(*target.fieldNames()).write.option("partitionOverwriteMode", "dynamic")
         writer.insertInto(name, overwrite=True)
 
     def append(self, frame: DataFrame, name: str) -> None:
         """Append rows; columns are matched by name and must all exist."""
         frame.select(*self.spark.table(name).columns).write.insertInto(name, overwrite=False)
 
-    def publish(self, frame: DataFrame, name: str) -> DataFrame:
-        """Full refresh: build the new table beside the old one, then swap the names.
+    def publish(self, frame: DataFrame, name: str, day: str | None = None) -> DataFrame:
+        """Full refresh: write a new version of the table, then move its name there.
 
-        Readers see the old rows until the new table is complete; a failed build leaves the old
-        table in place.
+        The name is a view of the newest version. Moving it is one change of its catalog entry, so a
+        reader finds the old rows or the new ones, never none; a build that fails moves nothing. The
+        version before stays for readers that are still at it. With ``day``, a version is partitioned by
+        the month of that column, see :meth:`window`.
         """
-        building = f"{name}__building"
-        self.spark.sql(f"DROP TABLE IF EXISTS {building}")
-        frame.write.format(self.table_format).saveAsTable(building)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"ALTER TABLE {building} RENAME TO {name}")
-        return self.spark.table(name)
+        version = f"{name}{VERSION}{time.time_ns():020d}"
+        writer = frame.write.format("parquet")
+        if day:
+            months = frame.withColumn(MONTH, F.date_format(day, "yyyy-MM"))
+            # Rebalanced, so that a month of most rows is written by many tasks.
+            writer = months.hint("rebalance", F.col(MONTH)).write.format("parquet").partitionBy(MONTH)
+        writer.saveAsTable(version)
+        if self.exists(name) and self.spark.catalog.getTable(name).tableType == "VIEW":
+            self.spark.sql(f"ALTER VIEW {name} AS SELECT * FROM {version}")
+        else:  # the first version, or a plain table from before there were versions
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {version}")
+        for old in self.versions(name)[:-2]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return self.spark.table(name).drop(MONTH)
+
+    def versions(self, name: str) -> list[str]:
+        """The stored versions of a published table, oldest first."""
+        layer, _, table = name.rpartition(".")
+        found = self.spark.sql(f"SHOW TABLES IN {layer} LIKE '{table}{VERSION}*'").collect()
+        return sorted(f"{layer}.{row.tableName}" for row in found)
+
+    def window(self, layer: str, table: str, day: str, period: Period) -> DataFrame:
+        """Rows of a published table whose day lies in a period; other months are not listed."""
+        months = F.col(MONTH).between(f"{period.first:%Y-%m}", f"{period.last:%Y-%m}")
+        return self.spark.table(self.name(layer, table)).filter(months & period.holds(day)).drop(MONTH)
 
     def inventory(self, layers: Iterable[str] = ("bronze", "quarantine", "silver", "gold")) -> DataFrame:
-        """(table_schema, table_name) of every table in the layers."""
-        rows = [
-            (layer, table.name)
+        """(table_schema, table_name) of every table in the layers, from the catalog."""
+        found = [
+            self.spark.sql(f"SHOW TABLES IN {self.prefix}{layer}")
+            .filter(~F.col("isTemporary") & ~F.contains("tableName", F.lit(VERSION)))
+            .select(F.lit(layer).alias("table_schema"), F.col("tableName").alias("table_name"))
             for layer in layers
-            for table in self.spark.catalog.listTables(f"{self.prefix}{layer}")
-            if not table.isTemporary
         ]
-        found = self.spark.createDataFrame(rows, "table_schema string, table_name string")
-        return found.orderBy(F.asc("table_schema"), F.asc("table_name"))
+        return reduce(DataFrame.unionByName, found).orderBy("table_schema", "table_name")

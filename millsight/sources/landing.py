@@ -49,6 +49,17 @@ def scan_new_files(
     return scan_files(spark, folder, table, paths) if paths else None
 
 
+def register_landing(spark: SparkSession, folder: str, database: str) -> None:
+    """Enter every Parquet table found in a folder in the catalog, as a view of its files."""
+    folder = folder.rstrip("/")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/*.parquet")
+    name = F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for row in listed.select(name.alias("name")).distinct().collect():
+        source = f"SELECT * FROM parquet.`{folder}/{row.name}.parquet`"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.`{row.name}` AS {source}")
+
+
 def scan_lineage(spark: SparkSession, folder: str, tables: Sequence[str]) -> DataFrame:
     """(file_name, n_rows, n_columns) of every file the scans of the tables read."""
     name = F.element_at(F.split("_source_file", "/"), -1).alias("file_name")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 import tempfile
 from collections import Counter
@@ -296,6 +298,7 @@ def test_a_run_that_died_before_its_audit_is_repeated(spark, raw, landing):
     Ingestion(lake, landing, "ok").run()
     bronze = lake.name("bronze", "fact_production")
     stray = spark.table(bronze).withColumn("production_lot_id", F.lit("STRAY")).withColumn("_batch_id", F.lit("died"))
+    lake.begin("fact_production", "died")  # as every attempt does before its first write
     lake.replace_partitions(stray, bronze)
     before = spark.table(bronze).filter("production_lot_id <> 'STRAY'").count()
     Ingestion(lake, landing, "next").run()
@@ -369,3 +372,112 @@ def test_new_files_have_the_union_schema(spark, raw):
     fresh = scan_new_files(spark, folder, "fact_production", listed.filter("path LIKE '%{1}%'"))
     assert set(fresh.columns) == set(scan_files(spark, folder, "fact_production").columns)
     assert [(r.production_lot_id, r.scrap_qty) for r in fresh.collect()] == [("L2", None)]
+
+
+WRITES = ("begin", "replace_partitions", "replace_partitions", "append", "append", "append", "end")
+
+
+@pytest.fixture(scope="module")
+def few_files(raw):
+    """An earlier lot."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    write(raw, folder, "fact_production", LOT, {})
+    return folder
+
+
+@pytest.fixture(scope="module")
+def second_batch(raw):
+    """One stored, one new and one wrong lot."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    lots = ({}, {"production_lot_id": "L2"}, {"production_lot_id": "L3", "pass_qty": "1"})
+    write(raw, folder, "fact_production", LOT, *lots, part=2)
+    return folder
+
+
+def lake_with_parents(spark, prefix):
+    lake = Lake(spark, prefix)
+    lake.bootstrap()
+    for stem, value in (("factory", "F1"), ("line", "N1"), ("product", "P1")):
+        spark.sql(f"SELECT '{value}' AS {stem}_id").write.saveAsTable(lake.name("bronze", f"dim_{stem}"))
+    return lake
+
+
+@pytest.mark.parametrize("step", range(len(WRITES)))
+def test_a_crash_between_any_two_writes_is_repaired(spark, few_files, second_batch, monkeypatch, step):
+    """Log, quarantine, Bronze, audit (the commit), two key indexes, log: die after each."""
+    lake, folder = lake_with_parents(spark, f"crash{step}_"), second_batch
+    Ingestion(lake, few_files, "first").ingest("fact_production")
+
+    calls = []
+
+    def dying(name):
+        kept = getattr(Lake, name)
+
+        def run(self, *arguments):
+            kept(self, *arguments)
+            calls.append(name)
+            if len(calls) == step + 1:
+                raise RuntimeError("lost")
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in dict.fromkeys(WRITES):
+            patch.setattr(Lake, name, dying(name))
+        with pytest.raises(RuntimeError, match="lost"):
+            Ingestion(lake, folder, "second").ingest("fact_production")
+    assert tuple(calls) == WRITES[: step + 1]
+    Ingestion(lake, folder, "third").ingest("fact_production")
+
+    lots = lake.table("bronze", "fact_production")
+    assert sorted(r.production_lot_id for r in lots.collect()) == ["L1", "L2"]
+    rejected = spark.table(lake.quarantine).filter("table_name = 'fact_production'")
+    assert sorted(r._error_code for r in rejected.collect()) == ["DUPLICATE_KEY", "INVALID_PRODUCTION_TOTAL"]
+    audit = spark.table(lake.audit).filter("table_name = 'fact_production'")
+    assert sorted(r.valid_rows for r in audit.collect()) == [1, 1]
+    assert lake.open_attempts("fact_production") == []
+    for index in Ingestion(lake, folder, "x").indexes("fact_production"):
+        stored = spark.table(index.name).select(*index.columns).distinct()
+        assert {r.production_lot_id for r in stored.collect()} == {"L1", "L2"}
+        assert stored.count() == 2
+
+
+def test_a_load_reads_the_months_and_slices_of_its_batch(spark, raw, few_files):
+    lake = Lake(spark, "near_")
+    lake.bootstrap()
+    ingestion = Ingestion(lake, few_files, "near")
+    lake.create(lake.name("bronze", "fact_production"), ingestion.contracts["fact_production"].ddl, ("_batch_id",))
+    ingestion.recover("fact_production")
+    dated, by_lot = ingestion.indexes("fact_production")
+    days = ", ".join(f"({i}, DATE'2026-0{i % 6 + 1}-10')" for i in range(600))
+    lots = spark.sql(f"SELECT concat('L', c1) AS production_lot_id, c2 AS production_date FROM VALUES {days} AS t(c1, c2)")
+    lots = lots.selectExpr("*", "'F1' AS factory_id", "'N1' AS line_id", "'P1' AS product_id")
+    for index in (dated, by_lot):
+        index.add(lots)
+    batch = lots.filter("production_lot_id IN ('L3', 'L9')")  # both in April
+    for index in (dated, by_lot):
+        profile = keys.key_profile(batch, index.columns)
+        near = index.near(profile)
+        assert keys.held_keys(profile, index.columns, near).count() == 2
+        assert 2 <= near.count() <= 100  # a month, or two slices, of 600
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            near.explain("formatted")
+        filters = next(line for line in plan.getvalue().splitlines() if line.startswith("PartitionFilters"))
+        assert "_slice" in filters and "_month" in filters
+        assert len(near.inputFiles()) <= 2
+    missing = keys.held_keys(keys.key_profile(lots, dated.columns), dated.columns, dated.near(batch), held=False)
+    assert missing.count() == 600 - dated.near(batch).count()
+    # A day that no stored row can have touches nothing.
+    odd = batch.withColumn("production_date", F.lit("1990-01-01").cast("date"))
+    assert dated.near(keys.key_profile(odd, dated.columns)).count() == 0
+
+
+def test_an_index_is_built_from_rows_stored_before_it(spark, raw, few_files):
+    lake = lake_with_parents(spark, "late_")
+    Ingestion(lake, few_files, "one").ingest("fact_production")
+    ingestion = Ingestion(lake, few_files, "two")
+    for index in ingestion.indexes("fact_production"):
+        spark.sql(f"DROP TABLE {index.name}")
+    ingestion.recover("fact_production")
+    for index in ingestion.indexes("fact_production"):
+        assert spark.table(index.name).count() == 1

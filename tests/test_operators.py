@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import tempfile
 from datetime import date
 
 import pytest
@@ -9,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millsight.functions.calendar import Period
-from millsight.operators import ranking
+from millsight.operators import ordering, ranking
 from millsight.plans import bi, checks, evidence
 
 
@@ -47,6 +50,52 @@ def test_rank_of_and_leaders(frame):
     assert rows(ranked, "a", "contribution_rank") == [("w", 3), ("x", 2), ("y", 2), ("z", 1)]
 
 
+def plan_of(df) -> str:
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        df.explain("formatted")
+    return text.getvalue()
+
+
+def test_common_values_spread_and_no_task_ranks_all(spark):
+    """Half the rows share one value: its rows lie in several ranges and have one rank."""
+    values = spark.range(4000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 5 ELSE id % 11 END AS v", "NULL AS n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a few rows are one range else
+    ranges = ordering.in_ranges(values.repartition(3), [F.desc("v"), F.col("id")])
+    assert ranges.filter("v = 5").select("_range").distinct().count() > 1
+    ranked = ordering.with_dense_rank(values, "v", "place")
+    plain = ranked.withColumn("plain", F.dense_rank().over(Window.orderBy(F.desc("v"))))
+    assert plain.filter("place <> plain").count() == 0 and ranked.count() == 4000
+    assert ordering.with_dense_rank(values.withColumn("n", F.lit(None).cast("int")), "n", "r").filter("r IS NOT NULL").count() == 0
+    plan = plan_of(ranked)
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    for node in plan.split("\n\n"):  # joined by range number, windows inside ranges only
+        if "SortMergeJoin" in node or "BroadcastHashJoin" in node:
+            assert "_range" in node or "Left keys" not in node
+        if node.lstrip().startswith("(") and ") Window" in node:
+            assert "_range" in node
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_positions_follow_the_order(spark, frame):
+    values = spark.range(3000).selectExpr("id", "id * 7919 % 101 AS v")
+    order = [F.desc("v"), F.col("id").asc()]
+    placed = ordering.with_position(values.repartition(5), order)
+    plain = placed.withColumn("plain", F.row_number().over(Window.orderBy(*order)))
+    assert plain.filter("position <> plain").count() == 0 and placed.count() == 3000
+    assert ordering.with_position(values.limit(0), order).count() == 0
+    equal = frame("a int", (1,), (1,), (None,))
+    assert rows(ordering.with_position(equal, [F.col("a").asc_nulls_first()]), "position") == [(1,), (2,), (3,)]
+
+
+def test_leaders_need_no_window(frame):
+    df = frame("a string, q long", *[(f"t{i}", 7) for i in range(50)], ("top", 9), ("low", 1), ("none", None))
+    found = ranking.leading_contributors(df, ("a",), "q", 2)
+    assert found.filter("contribution_rank = 2").count() == 50 and found.count() == 51
+    assert "Window" not in plan_of(found)
+    every = ranking.leading_contributors(df, ("a",), "q", 9)
+    assert rows(every.filter("a IN ('none', 'low')"), "a", "contribution_rank") == [("low", 3), ("none", 4)]
+
+
 def test_lot_concentration(frame):
     schema = "component_id string, supplier_id string, component_lot_id string, event_quantity long"
     df = frame(schema, ("C", "S", "bad", 31), ("C", "S", "a", 10), ("C", "S", "b", 4), ("C", "T", "a", 1),
@@ -128,6 +177,44 @@ def test_one_sided_null_rates_are_mismatches(frame):
     assert df.filter(wrong).count() == 3
 
 
+def test_a_gold_table_is_read_once_for_all_its_checks(spark, frame):
+    """Row count and both ranks of the Pareto model come from grouping sets over one scan."""
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    schema = (
+        "event_date date, factory_id string, line_id string, product_id string, component_id string, "
+        "supplier_id string, defect_id string, defect_quantity long"
+    )
+    data = [(day("2026-05-12"), "FAC-TW", "N", "PROD-X200", "COMP-MEM", "SUP-C", "DEF-MEM", 5),
+            (day("2026-05-12"), "FAC-TW", None, "PROD-X200", "COMP-MEM", None, "DEF-MEM", 5),
+            (day("2026-05-12"), "FAC-TW", "N", "PROD-X200", "COMP-PSU", "SUP-C", "DEF-MEM", 9),
+            (day("2026-04-20"), "FAC-MX", "LINE-MX-02", "P", "C", "S", "DEF-VOLT", 3),
+            (day("2026-04-20"), "FAC-MX", "LINE-MX-01", "P", "C", "S", "DEF-VOLT", 3),
+            (day("2026-04-21"), "FAC-MX", "LINE-MX-01", "Q", "C", "S", "DEF-VOLT", 1),
+            (day("2026-01-01"), "FAC-MX", "LINE-MX-01", "P", "C", "S", "DEF-VOLT", 99)]
+    frame(schema, *data).write.parquet(f"{folder}/pareto")
+    spec = checks.Acceptance()
+    wanted = [
+        checks.Contribution("b", spec.line_window, spec.line_entity),
+        checks.Contribution("d", spec.local_window, spec.local_entity),
+    ]
+    table = {"gold_defect_pareto": spark.read.parquet(f"{folder}/pareto")}
+    count, line, place = checks._contribution_checks(table, "gold_defect_pareto", "defect_quantity", wanted, spec)
+    assert count.first().actual == "7"
+    assert (line.first().check_name, line.first().actual) == ("b", "2")
+    assert (place.first().check_name, place.first().actual) == ("d", "2")
+    for check in (count, line, place):  # they read the groups
+        assert f"{folder}/pareto" not in plan_of(check)
+    empty = {"gold_defect_pareto": table["gold_defect_pareto"].limit(0)}
+    found = [c.first().actual for c in checks._contribution_checks(empty, "gold_defect_pareto", "defect_quantity", wanted, spec)]
+    assert found == ["0", "999", "999"]
+
+
+def test_acceptance_from_json():
+    spec = checks.Acceptance.from_json('{"stability": 0.1, "mix_after": {"first": "2026-06-01", "last": "2026-06-02"}}')
+    assert spec.stability == 0.1 and spec.mix_after == Period.of("2026-06-01", "2026-06-02")
+    assert spec.mix_before == checks.Acceptance().mix_before
+
+
 def test_enforce_fails_closed(frame):
     schema = "check_name string, status string, actual string, expected string, detail string"
     lines = []

@@ -6,6 +6,7 @@ import contextlib
 import io
 import math
 import tempfile
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -27,7 +28,7 @@ TABLES = ("region", "nation", "supplier", "part", "orders", "lineitem")
 def database():
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
-    for table in TABLES:
+    for table in (path.stem for path in Path(SF).glob("*.parquet")):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     return connection
 
