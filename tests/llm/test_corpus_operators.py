@@ -391,6 +391,46 @@ def test_passages_need_one_partner_and_short_texts_hide_none(frame):
     assert found == [(0, 70, 130), (1, 40, 100)]
 
 
+def test_unlike_gaps_join_nothing(frame):
+    """Two texts that share 40 words, differ in the next 60, share 40 again have no passage of 50."""
+    rng = random.Random(21)
+
+    def words(n):
+        return [f"u{rng.randrange(10**6)}" for _ in range(n)]
+
+    for gap in (30, 60):
+        first, last = words(40), words(40)
+        rows = [(i, " ".join(words(20) + first + words(gap) + last + words(20))) for i in range(2)]
+        assert substring_dedup.repeated_passages(frame("doc_id long, text string", *rows)).count() == 0
+
+
+@pytest.mark.parametrize("length, changes, recall", [(60, 3, 0.95), (60, 6, 0.9), (100, 10, 0.95), (100, 15, 0.9)])
+def test_recall_of_fuzzy_passages(frame, length, changes, recall):
+    """Passages with 5, 10 and 15 % of their words changed, one partner each."""
+    rng = random.Random(length + changes)
+
+    def words(n):
+        return [f"r{rng.randrange(4000)}" for _ in range(n)]
+
+    rows, planted = [], {}
+    for i in range(150):
+        passage = words(length)
+        for copy in range(2):
+            mine = list(passage)
+            for at in rng.sample(range(length), changes) if copy else ():
+                mine[at] = f"changed{rng.randrange(10**6)}"
+            before = words(rng.randint(40, 120))
+            planted[2 * i + copy] = (len(before), len(before) + length)
+            rows.append((2 * i + copy, " ".join(before + mine + words(rng.randint(40, 120)))))
+    found = defaultdict(list)
+    for r in substring_dedup.repeated_passages(frame("doc_id long, text string", *rows)).collect():
+        found[r.doc_id].append((r.start_word, r.end_word))
+        start, end = planted[r.doc_id]
+        assert r.like_doc == r.doc_id ^ 1 and start - 3 <= r.start_word and r.end_word <= end + 3
+    caught = sum(any(b - a >= 50 for a, b in found[i]) for i in planted)
+    assert caught >= recall * len(planted)
+
+
 def test_passages_of_the_table(spark, folder, rows_of):
     texts = dict(rows_of("documents", "doc_id", "text"))
     owners = defaultdict(set)
