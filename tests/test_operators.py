@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millsight.functions.calendar import Period
 from millsight.operators import ordering, ranking
 from millsight.plans import bi, checks, evidence
+from millsight.session import written
 
 
 def rows(df, *columns):
@@ -197,16 +198,15 @@ def test_a_gold_table_is_read_once_for_all_its_checks(spark, frame):
         checks.Contribution("b", spec.line_window, spec.line_entity),
         checks.Contribution("d", spec.local_window, spec.local_entity),
     ]
-    table = {"gold_defect_pareto": spark.read.parquet(f"{folder}/pareto")}
-    count, line, place = checks._contribution_checks(table, "gold_defect_pareto", "defect_quantity", wanted, spec)
-    assert count.first().actual == "7"
-    assert (line.first().check_name, line.first().actual) == ("b", "2")
-    assert (place.first().check_name, place.first().actual) == ("d", "2")
-    for check in (count, line, place):  # they read the groups
-        assert f"{folder}/pareto" not in plan_of(check)
-    empty = {"gold_defect_pareto": table["gold_defect_pareto"].limit(0)}
-    found = [c.first().actual for c in checks._contribution_checks(empty, "gold_defect_pareto", "defect_quantity", wanted, spec)]
-    assert found == ["0", "999", "999"]
+    def report(table):
+        totals = checks._group_totals(table, "gold_defect_pareto", "defect_quantity", wanted)
+        assert plan_of(totals).count("Scan parquet") <= 2  # the node and its details
+        parts = checks._contribution_checks(written(totals, "test"), "gold_defect_pareto", wanted, spec)
+        return [(r.check_name, r.actual) for part in parts for r in part.collect()]
+
+    stored = spark.read.parquet(f"{folder}/pareto")
+    assert report(stored) == [("row_count_gold_defect_pareto", "7"), ("b", "2"), ("d", "2")]
+    assert [actual for _, actual in report(stored.limit(0))] == ["0", "999", "999"]
 
 
 def test_acceptance_from_json():
