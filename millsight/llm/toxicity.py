@@ -6,12 +6,13 @@ insult. Strings are the words of sentences; runs of single characters are read a
 words in overlapping windows of ``WIDTH`` characters, and nothing of a text is left out.
 
 Labels are of whole texts. Training follows the multiple-instance view: words that occur in toxic
-sentences far more often than in clean ones are the positive instances, frequent words of clean
-sentences the negative ones. Landmarks are taken from both; the Nyström map turns kernel values into
+sentences far more often than in clean ones, in texts that are no copies of each other, are the positive
+instances, frequent words of clean sentences the negative ones. Landmarks are taken from both; the Nyström map turns kernel values into
 features for a linear SVM (squared hinge, solved by Newton steps). Positive words train along with
 variants that have one or two characters put in. Every word is scored by the kernel itself: there is
-no filter before it. A sentence scores as its highest
-word, a text as its highest sentence, and a logistic curve fitted on training texts gives 0 to 1.
+no filter before it. A text is judged as the bag of its sentences' strings: by the two highest values and
+the share of strings on the toxic side, so that one chance likeness in a long text does not mark it, or by
+the highest value alone where that is beyond doubt. Logistic curves fitted on training texts give 0 to 1.
 
 Word counts cover all labelled training texts and are made in Spark; what the driver gathers is bounded
 by ``MOST_POSITIVE``, ``MOST_NEGATIVE`` and ``MOST_TEXTS`` (parameters of ``train``). Scoring is one pass.
@@ -26,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -56,7 +58,10 @@ MOST_POSITIVE = 1500
 MOST_NEGATIVE = 4500
 MOST_TEXTS = 2000
 MOST_CACHED = 400_000
-LOWEST_SCORE = -3.0
+LOWEST_SCORE, HIGHEST_SCORE = -3.0, 6.0
+#: Weight of the set-aside variants, as a share of the toxic texts' weight, when the curve of the highest
+#: value is fitted.
+ASIDE_WEIGHT = 1.0
 
 _MARKS = re.compile(r"[^\w\s]|_")
 _SINGLES = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
@@ -203,8 +208,8 @@ class Model:
     landmarks: Landmarks | None
     weights: np.ndarray
     bias: float
-    slope: float
-    shift: float
+    curve: np.ndarray
+    alone: np.ndarray
     constant: float | None = None
     cache: dict[str, float] = field(default_factory=dict, repr=False)
 
@@ -219,8 +224,9 @@ class Model:
                     values[part] += (self.landmarks.kernel(codes) ** POWER) @ self.weights
         return values
 
-    def highest(self, texts: Sequence[str]) -> np.ndarray:
-        """The highest value of any string of each text."""
+    def bags(self, texts: Sequence[str]) -> np.ndarray:
+        """What each text, as a bag of strings, is judged by: the two highest values of its strings and
+        the logarithm of the share of strings on the toxic side."""
         cache = self.cache
         if len(cache) > MOST_CACHED:
             cache.clear()
@@ -234,13 +240,20 @@ class Model:
         for (word, _), value in zip(parts, values.tolist(), strict=True):
             if value > cache[word]:
                 cache[word] = value
-        lowest = min(self.bias, LOWEST_SCORE)
-        return np.array([max(map(cache.__getitem__, s), default=lowest) for s in sets])
+        found = np.full((len(texts), 3), LOWEST_SCORE)
+        for row, strings in enumerate(sets):
+            held = sorted(map(cache.__getitem__, strings))
+            found[row, : len(held[-2:])] = held[-2:][::-1]
+            toxic = len(held) - bisect_right(held, 0.0)
+            found[row, 2] = math.log((toxic + 0.3) / (len(held) + 30))
+        found[:, :2] = np.clip(found[:, :2], LOWEST_SCORE, HIGHEST_SCORE)
+        return found
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        found = self.slope * self.highest(texts) + self.shift
+        bags = self.bags(texts)
+        found = np.maximum(bags @ self.curve[:-1] + self.curve[-1], bags[:, :1] @ self.alone[:-1] + self.alone[-1])
         return 1 / (1 + np.exp(-np.clip(found, -40, 40)))
 
 
@@ -283,21 +296,31 @@ def _svm(features: np.ndarray, signs: np.ndarray, weights: np.ndarray, cost: flo
     return found
 
 
-def _logistic(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a balanced logistic curve, by Newton steps with a little shrinkage."""
-    weights = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
-    weights *= len(labels)
-    rows = np.stack([values, np.ones(len(values))], 1)
-    found = np.array([1.0, 0.0])
-    for _ in range(100):
-        chance = 1 / (1 + np.exp(-np.clip(rows @ found, -40, 40)))
-        slope = rows.T @ (weights * (chance - labels)) + 0.05 * found * [1, 0]
-        bend = (rows * (weights * chance * (1 - chance))[:, None]).T @ rows + 0.05 * np.eye(2)
-        step = np.linalg.solve(bend, slope)
-        found = found - np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+def _logistic(bags: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A logistic curve, none of its factors negative, by Newton steps with a little shrinkage; the last
+    number is the shift."""
+    weights = weights * (len(labels) / weights.sum())
+    used = list(range(bags.shape[1]))
+    while True:
+        rows = np.hstack([bags[:, used], np.ones((len(bags), 1))])
+        shrink = 0.05 * np.eye(len(used) + 1)
+        shrink[-1, -1] = 1e-6
+        found = np.zeros(len(used) + 1)
+        for _ in range(200):
+            chance = 1 / (1 + np.exp(-np.clip(rows @ found, -40, 40)))
+            slope = rows.T @ (weights * (chance - labels)) + shrink @ found
+            bend = (rows * (weights * chance * (1 - chance))[:, None]).T @ rows + shrink
+            step = np.clip(np.linalg.solve(bend, slope), -2, 2)
+            found = found - step
+            if np.abs(step).max() < 1e-8:
+                break
+        wrong = [i for i, factor in zip(used, found[:-1], strict=True) if factor < 0]
+        if not wrong or len(used) == 1:
             break
-    return max(float(found[0]), 1e-3), float(found[1])
+        used = [i for i in used if i not in wrong] or [0]
+    curve = np.zeros(bags.shape[1] + 1)
+    curve[used], curve[-1] = np.maximum(found[:-1], 1e-3), found[-1]
+    return curve
 
 
 def fit(
@@ -307,8 +330,13 @@ def fit(
     labels: np.ndarray,
     landmarks: int = LANDMARKS,
     cost: float = 3.0,
+    share: float | None = None,
 ) -> Model:
-    """A model from weighted positive and negative words and a sample of labelled texts."""
+    """A model from weighted positive and negative words and a sample of labelled texts.
+
+    ``share`` is that of toxic texts among all labelled ones, where the sample has another one.
+    """
+    share = float(np.mean(labels)) if share is None else share
     strongest = max((w for _, w in positive), default=0.0)
     letters = sorted(set().union(*(w for w, _ in [*positive, *negative])))
     known = {w for w, _ in [*positive, *negative]}
@@ -342,13 +370,20 @@ def fit(
         mine = signs == side
         weights[mine] /= weights[mine].sum()
     found = _svm(kernel @ root, signs, weights * len(words) / 2, cost)
-    model = Model(alphabet, marks, root @ found[:-1], float(found[-1]), 1.0, 0.0)
+    model = Model(alphabet, marks, root @ found[:-1], float(found[-1]), np.zeros(4), np.zeros(2))
     # Other variants of the strong words stand for texts whose insults have letters put in.
     aside = range(GAPPED, GAPPED + GAPPED_ASIDE)
     strong = [w for w, weight in plain if 2 * weight >= strongest]
     unseen = [v for w in strong for v in gapped(w, letters, aside) if v not in known]
-    labels = np.concatenate([labels, np.ones(len(unseen))])
-    model.slope, model.shift = _logistic(model.highest([*texts, *unseen]), labels)
+    bags, aside_bags = model.bags(texts), model.bags(unseen) if unseen else np.empty((0, 3))
+    own = np.where(labels == 1, share / max(labels.sum(), 1.0), (1 - share) / max((1 - labels).sum(), 1.0))
+    model.curve = _logistic(bags, labels, own)
+    part = ASIDE_WEIGHT * share / max(len(unseen), 1)
+    model.alone = _logistic(
+        np.concatenate([bags, aside_bags])[:, :1],
+        np.concatenate([labels, np.ones(len(unseen))]),
+        np.concatenate([own, np.full(len(unseen), part)]),
+    )
     return model
 
 
@@ -372,7 +407,7 @@ def train(
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         share = toxic / max(toxic + clean, 1)
-        return Model(Alphabet({}), None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
+        return Model(Alphabet({}), None, np.zeros(1), 0.0, np.zeros(4), np.zeros(2), constant=float(share))
 
     plain = F.regexp_replace(F.lower("_text"), r"(?U)[^\w\s]|_", "")
     words = rows.select("_label", F.split(plain, r"(?U)\s+").alias("words"))
@@ -390,18 +425,14 @@ def train(
         F.desc("in_toxic"), "word"
     )
     likely = likely.select("word").limit(4 * most_positive)
-    # Copies of one text repeat a word behind the same word; an insult comes behind many.
-    behind = words.filter("_label = 1").select(
-        F.explode(
-            F.transform(
-                "words",
-                lambda w, i: F.struct(
-                    w.alias("word"), F.get("words", i - 1).alias("previous")
-                ),
-            )
-        ).alias("pair")
-    )
-    behind = behind.select("pair.*").join(F.broadcast(likely), "word").distinct()
+    # Copies of one text repeat a word behind the same word, and a long text holds it in many places:
+    # the word before its first place in a text tells texts apart that say it on their own.
+    toxic_words = words.filter("_label = 1").select(F.monotonically_increasing_id().alias("row"), "words")
+    behind = toxic_words.select("row", "words", F.posexplode("words").alias("at", "word"))
+    behind = behind.join(F.broadcast(likely), "word")
+    behind = behind.select("row", "word", "at", F.get("words", F.col("at") - 1).alias("previous"))
+    first = F.min(F.struct("at", "previous")).alias("first")
+    behind = behind.groupBy("row", "word").agg(first).select("word", "first.previous").distinct()
     positive = behind.groupBy("word").agg(F.count("*").alias("places"))
     positive = positive.filter(F.col("places") >= least).orderBy(F.desc("places"), "word")
     negative = seen.filter((F.col("in_clean") >= 1) & (odds <= 0.8))
@@ -411,7 +442,7 @@ def train(
     minus = {r[0]: float(r[2]) ** 0.25 for r in [*frequent.collect(), *others.collect()]}
     if not plus or not minus:
         share = toxic / (toxic + clean)
-        return Model(Alphabet({}), None, np.zeros(1), 0.0, 1.0, 0.0, constant=float(share))
+        return Model(Alphabet({}), None, np.zeros(1), 0.0, np.zeros(4), np.zeros(2), constant=float(share))
     sample = []
     for value in (0, 1):
         kind = rows.filter(F.col("_label") == value).withColumn("_draw", F.xxhash64("_text"))
@@ -420,12 +451,12 @@ def train(
         drawn = kind.filter(F.col("_draw") <= last.first()[0]).limit(most_texts // 2)
         sample += [(r[1], value) for r in sorted(drawn.collect())]
     texts, found = [t for t, _ in sample], np.array([v for _, v in sample], float)
-    model = fit(plus, list(minus.items()), texts, found)
+    model = fit(plus, list(minus.items()), texts, found, share=toxic / (toxic + clean))
     for _ in range(HARD_ROUNDS):  # the clean words the model likes best become negatives
         liked = score(negative, model, ("word",), "word").orderBy(F.desc("score"), "word")
         hard = [r[0] for r in liked.limit(most_negative // 3).collect()]
         minus = {**dict.fromkeys(hard, 3.0), **{w: v for w, v in minus.items() if w not in hard}}
-        model = fit(plus, list(minus.items()), texts, found)
+        model = fit(plus, list(minus.items()), texts, found, share=toxic / (toxic + clean))
     return model
 
 

@@ -329,6 +329,18 @@ def test_toxicity_folds(spark, folder):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
 
 
+def test_toxicity_on_held_out_rows(spark):
+    """Through the query at scale factor 0.1, whose held-out labels training never sees."""
+    folder = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = [r for r in QUERIES["op6_toxicity"](spark, folder).collect() if r.held_out and r.doc_id in labels]
+    marked = Counter((labels[r.doc_id], r.predicted) for r in found)
+    false_marks = marked[0, 1] / (marked[0, 0] + marked[0, 1])
+    recall = marked[1, 1] / (marked[1, 0] + marked[1, 1])
+    print(f"held out: {false_marks:.3f} of clean texts marked, {recall:.3f} of toxic ones found")
+    assert false_marks < 0.02 and recall > 0.9
+
+
 def test_url_rules_by_brute_force(frame):
     rules = [("net", "/", "block"), ("a.net", "/x", "allow"), ("a.net", "/x/y", "block"),
              ("b.a.net", "/x", "block"), ("c.org", "/", "allow"), ("c.org", "/", "block")]
