@@ -311,6 +311,21 @@ CTES |= {
     ])} FROM counted_events t""",
 }
 
+_RUN_CHECKS = texts([
+    *null_issues(PRODUCTION), *rule_issues(PRODUCTION_RULES),
+    ("copies > 1 OR stored", "DUPLICATE_KEY", DUPLICATE_TEXT), *foreign(PRODUCTION_FKS),
+])
+CTES |= {
+    "run_one": f"""SELECT *, {COPIES} AS copies, FALSE AS stored FROM typed_production
+        WHERE substr(_source_file, 25, 1) IN ('0', '2')""",
+    "checked_run_one": f"SELECT t.*, {_RUN_CHECKS} FROM run_one t",
+    "run_two": f"""SELECT *, {COPIES} AS copies,
+        coalesce(({GRAIN}) IN (SELECT ({GRAIN}) FROM checked_run_one WHERE codes = ''), FALSE) AS stored
+        FROM (SELECT * FROM typed_production WHERE substr(_source_file, 25, 1) IN ('1', '3') UNION ALL
+          SELECT * FROM typed_production WHERE substr(_source_file, 25, 1) = '0' AND production_lot_id LIKE '%7')""",
+    "checked_run_two": f"SELECT t.*, {_RUN_CHECKS} FROM run_two t",
+}
+
 
 def versions(source: str, again: str, changes: dict[str, str]) -> str:
     """First-sent rows plus later, changed copies."""
@@ -997,6 +1012,12 @@ _BODIES |= {
         CAST(SUM(copies) AS BIGINT) AS n_rows FROM (
         SELECT DISTINCT {GRAIN}, copies FROM counted_production
         WHERE stored AND production_date < DATE '1996-01-01') GROUP BY 1""",
+    "ingestion_run": " UNION ALL ".join(
+        [f"""SELECT '{batch}' AS batch_id, 'fact_production' AS table_name,
+            CASE WHEN codes = '' THEN 'accepted' ELSE codes END AS outcome, COUNT(*) AS n_rows
+            FROM checked_run_{batch} GROUP BY ALL""" for batch in ("one", "two")]
+        + [f"SELECT 'one', '{dim}', 'accepted', COUNT(*) FROM {dim}" for _, dim in PRODUCTION_FKS]),
+    "published_window": f"SELECT * FROM daily WHERE production_date {QUARTER}",
     "table_inventory": """SELECT 'landing' AS table_schema, table_name FROM information_schema.tables
         WHERE table_schema = 'main' AND table_type = 'VIEW'""",
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Sequence
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ from millsight.operators import keys as key_ops
 from millsight.operators import quality, ranking
 from millsight.plans import bi, bronze, checks, evidence, gold, silver
 from millsight.registry.star import DirtyStar, Star
-from millsight.sources.catalog import Lake
+from millsight.session import work_folder, written
+from millsight.sources.catalog import LAYERS, Lake
 from millsight.sources.key_index import entries_near, index_entries
 from millsight.sources.landing import register_landing, scan_lineage, source_inventory
 
@@ -534,6 +536,63 @@ def _table_inventory(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["table_inventory"] = _table_inventory
 
 
+# --- whole runs: tables of a lake of the call's own, given up once their rows are read ------------
+
+
+def _in_own_lake(spark: SparkSession, build: Callable[[Lake], DataFrame]) -> DataFrame:
+    """What ``build`` finds in a fresh lake; the result is written, then the lake is dropped."""
+    lake = Lake(spark, f"run_{uuid4().hex[:12]}_")
+    lake.bootstrap()
+    try:
+        return written(build(lake), "runs")
+    finally:
+        for layer in LAYERS:
+            spark.sql(f"DROP DATABASE IF EXISTS {lake.prefix}{layer} CASCADE")
+
+
+@query
+def ingestion_run(dirty: DirtyStar) -> DataFrame:
+    """Two batches and a repeated run from files to Bronze and quarantine: rows by batch and outcome.
+
+    The second batch sends some lots of the first one again; the third run finds no new file.
+    """
+    landing = f"{work_folder(dirty.spark)}/landing/{uuid4().hex}"
+    parents = ("dim_factory", "dim_line", "dim_product")
+    for name in parents:
+        dirty.dims[name].write.parquet(f"{landing}/one/{name}.parquet")
+    raw, part = dirty.raw_production, F.substring("_source_file", 25, 1)
+    again = raw.filter((part == "0") & F.col("production_lot_id").endswith("7"))
+    batches = {"one": raw.filter(part.isin("0", "2")), "two": raw.filter(part.isin("1", "3")).unionByName(again)}
+    for batch, rows in batches.items():
+        rows.drop("_source_file").write.parquet(f"{landing}/{batch}/fact_production.parquet")
+
+    def run(lake: Lake) -> DataFrame:
+        for name in (*parents, "fact_production"):
+            bronze.Ingestion(lake, f"{landing}/one", "one", HORIZON).ingest(name)
+        for batch in ("two", "three"):
+            bronze.Ingestion(lake, f"{landing}/two", batch, HORIZON).ingest("fact_production")
+        found = dirty.spark.table(lake.quarantine).select("_batch_id", "table_name", F.col("_error_code").alias("outcome"))
+        for name in (*parents, "fact_production"):
+            rows = lake.table("bronze", name).select("_batch_id", F.lit(name).alias("table_name"))
+            found = found.unionByName(rows.withColumn("outcome", F.lit("accepted")))
+        return found.groupBy(F.col("_batch_id").alias("batch_id"), "table_name", "outcome").agg(F.count("*").alias("n_rows"))
+
+    return _in_own_lake(dirty.spark, run)
+
+
+@query
+def published_window(star: Star) -> DataFrame:
+    """A quarter of a table that was published twice, read by the months it touches."""
+
+    def run(lake: Lake) -> DataFrame:
+        daily, name = gold.daily_rollup(star.production), lake.name("gold", "daily")
+        lake.publish(daily.filter("production_quantity > 40"), name, "production_date")
+        lake.publish(daily, name, "production_date")
+        return lake.window("gold", "daily", "production_date", QUARTER)
+
+    return _in_own_lake(star.spark, run)
+
+
 # --- evidence --------------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from millsight.functions.calendar import Period
 
 #: The month a published row belongs to, and what follows a published name in that of a version.
 MONTH, VERSION = "_month", "__v"
+LAYERS = ("bronze", "quarantine", "silver", "gold")
 
 AUDIT_DDL = (
     "table_name STRING, source_file STRING, batch_id STRING, source_rows BIGINT, "
@@ -64,7 +65,7 @@ class Lake:
 
     def bootstrap(self) -> None:
         """Databases of the four layers, the file audit, the attempt log and the quarantine table."""
-        for layer in ("bronze", "quarantine", "silver", "gold"):
+        for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer}")
         self.create(self.audit, AUDIT_DDL)
         self.create(self.attempts, ATTEMPTS_DDL, ("table_name", "batch_id"))
@@ -141,7 +142,7 @@ class Lake:
         months = F.col(MONTH).between(f"{period.first:%Y-%m}", f"{period.last:%Y-%m}")
         return self.spark.table(self.name(layer, table)).filter(months & period.holds(day)).drop(MONTH)
 
-    def inventory(self, layers: Iterable[str] = ("bronze", "quarantine", "silver", "gold")) -> DataFrame:
+    def inventory(self, layers: Iterable[str] = LAYERS) -> DataFrame:
         """(table_schema, table_name) of every table in the layers, from the catalog."""
         found = [
             self.spark.sql(f"SHOW TABLES IN {self.prefix}{layer}")
