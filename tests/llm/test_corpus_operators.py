@@ -391,6 +391,23 @@ def test_passages_need_one_partner_and_short_texts_hide_none(frame):
     assert found == [(0, 70, 130), (1, 40, 100)]
 
 
+def test_passages_are_found_behind_any_number_of_texts_with_their_seeds(frame):
+    """Texts with every seed of a passage, but not the passage, lie between its two texts in the orders."""
+    rng = random.Random(31)
+
+    def words(n):
+        return [f"t{rng.randrange(10**6)}" for _ in range(n)]
+
+    shared, changed = words(64), ["x1", "x2"]
+    rows = [(0, words(20) + shared + words(20)), (1, words(1500) + shared[:30] + changed + shared[32:] + words(900))]
+    for i in range(160):
+        half = range(27) if i % 2 else range(27, 54)
+        rows.append((10 + i, [w for at in half for w in shared[at : at + 11] + words(25)]))
+    found = substring_dedup.repeated_passages(frame("doc_id long, text string", *[(i, " ".join(t)) for i, t in rows]))
+    found = sorted((r.doc_id, r.start_word, r.end_word, r.like_doc) for r in found.collect())
+    assert found == [(0, 20, 84, 1), (1, 1500, 1564, 0)]
+
+
 def test_unlike_gaps_join_nothing(frame):
     """Two texts that share 40 words, differ in the next 60, share 40 again have no passage of 50."""
     rng = random.Random(21)
