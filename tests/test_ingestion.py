@@ -247,6 +247,17 @@ def test_unseen_files(raw, frame):
     assert {r._source_file for r in left.collect()} == {"file-2", "file-3"}
 
 
+def test_rows_are_not_dealt_by_file_to_leave_out_known_files(spark):
+    """The size of an aggregated audit is not known before it is written."""
+    batch = spark.range(2_000_000).selectExpr("id", "concat('file-', id % 4) AS _source_file")
+    audit = batch.selectExpr("_source_file AS source_file", "repeat('x', 200) AS pad").groupBy("source_file").count()
+    audit = audit.selectExpr("source_file", "'fact_production' AS table_name", "'SUCCESS' AS status")
+    left = keys.unseen_files(batch, audit.filter("source_file <> 'file-2'"), "fact_production")
+    assert left.groupBy("_source_file").count().collect() == [("file-2", 500_000)]
+    plan = left._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 # --- runs on files ---------------------------------------------------------------------------
 
 
