@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import json
+import re
 import tempfile
 from collections import Counter
 
@@ -183,6 +184,14 @@ def test_every_copy_of_a_duplicate_is_rejected(raw):
     }
 
 
+def test_rules_are_judged_once_a_row_under_a_filter(raw):
+    checked = check_batch(raw(LOT, {}, {"production_lot_id": "L2", "completed_qty": "11"}), CONTRACTS["fact_production"])
+    failing = checked.filter(F.size("_errors") > 0).select("production_lot_id", "_errors")
+    assert codes(failing) == ["COMPLETED_EXCEEDS_STARTED"]
+    plan = failing._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"completed_qty#\d+L <= started_qty#\d+L", plan)) == 1
+
+
 def test_stored_keys_are_duplicates(raw):
     contract = CONTRACTS["fact_production"]
     stored = check_batch(raw(LOT, {}), contract).select(*contract.columns)
