@@ -88,8 +88,10 @@ def pareto(
     accumulated over the scope. Inside a block all rows have the same measure, so the running total
     is the block's start plus measure times the position in the block.
     """
-    block = [*scope, measure, *lead]
-    sizes = frame.groupBy(*block).agg(F.count(F.lit(1)).alias("_rows"))
+    block, columns = [*scope, measure, *lead], frame.columns
+    # One number stands first for a block: rows are sorted by it, not by the members one after another.
+    frame = frame.withColumn("_block", F.xxhash64(*block))
+    sizes = frame.groupBy("_block", *block).agg(F.count(F.lit(1)).alias("_rows"))
     weight = F.col(measure) * F.col("_rows")
     largest = [F.col(measure).desc(), *[F.col(c).asc_nulls_first() for c in lead]]
     within = Window.partitionBy(*scope)
@@ -105,18 +107,17 @@ def pareto(
     )
     sizes = sizes.withColumn("_start", F.col("cumulative_failures") - weight)
     sizes = sizes.select(
-        *[F.col(c).alias(f"_b_{c}") for c in block], "_start", "pareto_rank", "total_failures"
+        *[F.col(c).alias(f"_b_{c}") for c in ("_block", *block)], "_start", "pareto_rank", "total_failures"
     )
-    match = F.lit(True)
+    match = F.col("_block") == F.col("_b__block")
     for c in block:
         match = match & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
-    # Positions first: their sort order is the one the join needs.
     order = [F.col(c).asc_nulls_first() for c in rest]
-    position = F.row_number().over(Window.partitionBy(*block).orderBy(*order))
+    position = F.row_number().over(Window.partitionBy("_block", *block).orderBy(*order))
     placed = frame.withColumn("_position", position).join(sizes, match)
     running = F.col("_start") + F.col(measure) * F.col("_position")
     ranked = placed.withColumn("cumulative_failures", running)
-    return ranked.select(*frame.columns, "total_failures", "cumulative_failures", "pareto_rank")
+    return ranked.select(*columns, "total_failures", "cumulative_failures", "pareto_rank")
 
 
 def benchmark_rank(frame: DataFrame, scope: Sequence[str], metric: str, name: str) -> DataFrame:

@@ -274,6 +274,15 @@ def test_drill_and_detail(frame):
     ]
 
 
+def test_pareto_sorts_blocks_by_one_number(frame):
+    df = frame("s string, d string, r string, q long", ("a", "x", "1", 2), ("a", "x", "2", 2), ("a", None, "1", 2))
+    found = ranking.pareto(df, ("s",), "q", ("d",), ("r",))
+    assert found.columns == [*df.columns, "total_failures", "cumulative_failures", "pareto_rank"]
+    assert sorted(r.cumulative_failures for r in found.collect()) == [2, 4, 6]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [_block#" in plan
+
+
 def test_pareto_keeps_rows_with_null_members(frame):
     df = frame(
         "day int, q long, defect string, line string, product string",
