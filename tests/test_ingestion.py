@@ -192,6 +192,28 @@ def test_rules_are_judged_once_a_row_under_a_filter(raw):
     assert len(re.findall(r"completed_qty#\d+L <= started_qty#\d+L", plan)) == 1
 
 
+def test_large_sides_are_sorted_by_one_number(spark, frame):
+    flagged = frame("a string, b date", ("x", None), (None, None))
+    rows = frame("a string, b string", ("x", None), ("x", "no date"), ("x", "2026-01-01"), (None, None), ("y", None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = keys.flag_rows(rows, flagged, ("a", "b"), "held", ("a", "try_cast(b AS DATE)"))
+        assert [r.held for r in found.collect()].count(True) == 3
+        assert found.columns == ["a", "b", "held"]
+        sorted_by = re.findall(r"Sort \[(\w+)#\d+L ASC", found._jdf.queryExecution().executedPlan().toString())
+        assert sorted_by and set(sorted_by) == {"_digest", "_flagged_digest"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Members of other types are equal by value, not by digest.
+    wide = keys.flag_rows(frame("a int", (1,), (2,)), frame("a long", (1,)), ("a",), "held")
+    assert sorted(tuple(r) for r in wide.collect()) == [(1, True), (2, False)]
+    profile = keys.key_profile(frame("a int", (1,), (None,), (2,)), ("a",))
+    for other in (frame("a int", (None,), (1,), (1,)), frame("a long", (None,), (1,), (1,))):
+        for held, expected in ((True, {None, 1}), (False, {2})):
+            kept = keys.held_keys(profile, ("a",), other, held=held)
+            assert kept.columns == ["a", "rows"] and {r.a for r in kept.collect()} == expected
+
+
 def test_stored_keys_are_duplicates(raw):
     contract = CONTRACTS["fact_production"]
     stored = check_batch(raw(LOT, {}), contract).select(*contract.columns)
