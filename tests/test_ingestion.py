@@ -192,6 +192,16 @@ def test_rules_are_judged_once_a_row_under_a_filter(raw):
     assert len(re.findall(r"completed_qty#\d+L <= started_qty#\d+L", plan)) == 1
 
 
+def test_event_rules_are_judged_once_under_a_filter_on_references(raw, frame):
+    batch = raw(EVENT, {}, {"quality_event_id": "E2", "production_lot_id": "L2"})
+    parents = {"fact_production": frame("production_lot_id string", ("L1",))}
+    checked = check_batch(batch, CONTRACTS["fact_quality_event"], parents=parents)
+    wrong = checked.filter(F.exists("_errors", lambda found: found["code"] == "INVALID_FOREIGN_KEY"))
+    assert codes(wrong) == ["INVALID_FOREIGN_KEY"]
+    plan = wrong._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"event_quantity#\d+L > 0", plan)) == 1
+
+
 def test_large_sides_are_sorted_by_one_number(spark, frame):
     flagged = frame("a string, b date", ("x", None), (None, None))
     rows = frame("a string, b string", ("x", None), ("x", "no date"), ("x", "2026-01-01"), (None, None), ("y", None))
