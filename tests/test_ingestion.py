@@ -202,6 +202,33 @@ def test_event_rules_are_judged_once_under_a_filter_on_references(raw, frame):
     assert len(re.findall(r"event_quantity#\d+L > 0", plan)) == 1
 
 
+def test_joins_of_a_batch_carry_only_what_the_output_needs(raw, frame):
+    batch = raw(EVENT, {}, {"quality_event_id": "E2", "production_lot_id": "L2", "disposition": "lost"})
+    dims = {c: frame(f"{c}_id string, name string", (f"{c[0].upper()}1", "x")) for c in ("factory", "product")}
+    parents = {"fact_production": frame("production_lot_id string", ("L1",))}
+    parents |= {f"dim_{name}": rows for name, rows in dims.items()}
+    settled = {}
+
+    def settle(rows, part):
+        settled[part] = rows
+        return rows
+
+    checked = check_batch(batch, CONTRACTS["fact_quality_event"], parents=parents, settle=settle)
+    assert codes(checked) == ["", "INVALID_DISPOSITION,INVALID_FOREIGN_KEY"]
+    assert {n: r.columns for n, r in settled.items() if n.startswith("parent")} == {
+        "parent_keys_1": ["factory_id"], "parent_keys_2": ["product_id"]}
+    assert {"duplicate_keys", "reference_0"} <= set(settled)
+    nodes, carried = [checked.select("quality_event_id", "_errors")._jdf.queryExecution().optimizedPlan()], set()
+    while nodes:
+        node = nodes.pop()
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        nodes += below
+        if node.nodeName() == "Join":
+            carried |= set(re.findall(r"(\w+)#", below[0].output().mkString(" ")))
+    assert {"quality_event_id", "_judged"} <= carried
+    assert not [c for c in carried if c.startswith("_raw_")] and "disposition" not in carried
+
+
 def test_large_sides_are_sorted_by_one_number(spark, frame):
     flagged = frame("a string, b date", ("x", None), (None, None))
     rows = frame("a string, b string", ("x", None), ("x", "no date"), ("x", "2026-01-01"), (None, None), ("y", None))
