@@ -337,6 +337,17 @@ def test_fenwick_chaining_equals_the_recurrence():
         assert len(best) - gaps == pytest.approx(brute_chain(left.tolist(), right.tolist()))
 
 
+def test_chains_of_matches_in_step_equal_the_search():
+    rng = np.random.default_rng(19)
+    for _ in range(60):
+        steps = rng.integers(1, 12, (2, int(rng.integers(1, 30))))
+        left, right = steps.cumsum(1)
+        chain = substring_dedup.chains(left, right)
+        # A match far off both ways keeps the search from being left out.
+        found = substring_dedup.chains(np.append(left, 10**6), np.append(right, -(10**6)))
+        assert chain == [c for c in found if len(left) not in c]
+
+
 def test_repeated_passages(spark, frame):
     rng = random.Random(10)
 
@@ -408,6 +419,70 @@ def test_passages_are_found_behind_any_number_of_texts_with_their_seeds(frame):
     assert found == [(0, 20, 84, 1), (1, 1500, 1564, 0)]
 
 
+def test_further_matches_equal_the_comparison_of_all_pairs(spark, frame, monkeypatch):
+    """Also where the pairs of two seeds are cut into blocks of both sides."""
+    monkeypatch.setattr(substring_dedup, "BLOCK_PLACES", 5)
+    monkeypatch.setattr(substring_dedup, "CELL_TESTS", 50)
+    rng = random.Random(41)
+    rows = set()
+    for text in range(40):
+        for place in rng.sample(range(120), 14):
+            sides = [sum(1 << rng.randrange(63) for _ in range(2)) if rng.random() < 0.5 else 0 for _ in range(2)]
+            rows.add((rng.randrange(4), text - 20, place, *sides, place, place + rng.choice((0, 0, 0, 35))))
+    covered = [(text - 20, 30, 110) for text in range(0, 40, 3)]
+    spans = {i: (start, end) for i, start, end in covered}
+    pairs = []
+    for seed, i, place, _, behind, first, last in rows:
+        for seed2, i2, place2, before, _, first2, last2 in rows:
+            if i != i2 or not substring_dedup.APART <= place2 - place <= 50:
+                continue
+            if (seed, first) == (seed2, first2) and last + 5 - first < 32:
+                continue
+            start, end = spans.get(i, (0, 0))
+            lone = any(not (start <= a and b + 5 <= end) for a, b in ((first, last), (first2, last2)))
+            pairs.append((seed, seed2, i, place, place2 - place, behind, before, lone))
+
+    def alike(one, two):
+        return (one & two).bit_count() >= substring_dedup.ALIKE * min(one.bit_count(), two.bit_count())
+
+    expected = set()
+    for one in pairs:
+        for two in pairs:
+            same = one[-1] and one[:2] == two[:2] and one[2] != two[2] and abs(one[4] - two[4]) <= 8
+            if same and alike(one[5], two[5]) and alike(one[6], two[6]):
+                expected.add((*max(one[2:4], two[2:4]), *min(one[2:4], two[2:4])))
+    places = frame(", ".join(f"{c} long" for c in substring_dedup._PLACE_NAMES), *rows)
+    spans = frame("id long, start long, end long", *covered)
+    found = []
+    for r in substring_dedup._further_matches(places, spans, 8).collect():
+        columns = [np.frombuffer(r[f"c{i}"], kind) for i, kind in enumerate(substring_dedup._MATCH_TYPES)]
+        found += zip(*(c.tolist() for c in columns), strict=True)
+    assert len(expected) > 1000 and set(found) == expected
+
+
+def test_texts_with_one_line_make_no_rows_for_each_two_of_them(frame, monkeypatch):
+    """Lines of 40 words that all texts have, in words of their own: no passage, and rows as the texts."""
+    rng = random.Random(42)
+    line = [f"l{i}" for i in range(40)]
+    rows = {}
+    real = substring_dedup.written
+
+    def counted(table, label):
+        done = real(table, label)
+        rows[label] = rows.get(label, 0) + done.count()
+        return done
+
+    monkeypatch.setattr(substring_dedup, "written", counted)
+    made = []
+    for count in (60, 180):
+        rows.clear()
+        texts = [[f"o{rng.randrange(10**6)}" for _ in range(30)] for _ in range(count)]
+        documents = [(i, " ".join(t[:15] + line + t[15:])) for i, t in enumerate(texts)]
+        assert substring_dedup.repeated_passages(frame("doc_id long, text string", *documents)).count() == 0
+        made.append((rows["passage-seed-pairs"], rows["passage-further"]))
+    assert all(more <= 4 * less for less, more in zip(*made, strict=True))
+
+
 def test_unlike_gaps_join_nothing(frame):
     """Two texts that share 40 words, differ in the next 60, share 40 again have no passage of 50."""
     rng = random.Random(21)
